@@ -131,13 +131,12 @@ def _(spark, sf):
 
 
 @query("p10_drop_nulls", sql("""
-SELECT date, store_nbr, family, dcoilwtico, sales_lag_30, rolling_mean_30 FROM feat
-WHERE dcoilwtico IS NOT NULL AND sales_lag_30 IS NOT NULL AND rolling_mean_30 IS NOT NULL"""
-                                  ).replace("rolling_mean_30 FROM feat", "round(rolling_mean_30, 6) AS rolling_mean_30 FROM feat"))
+SELECT date, store_nbr, family, dcoilwtico, sales_lag_30, round(rolling_mean_30, 6) AS rolling_mean_30 FROM feat
+WHERE dcoilwtico IS NOT NULL AND sales_lag_30 IS NOT NULL AND rolling_mean_30 IS NOT NULL"""))
 def _(spark, sf):
     # Nulls are dropped after the lags, on all columns: a day without an oil price goes too.
     panel = features.drop_nulls(feature_panel(spark, sf))
-    return round_all(panel.select(*KEY, "dcoilwtico", "sales_lag_30", "rolling_mean_30"))
+    return panel.select(*KEY, "dcoilwtico", "sales_lag_30", F.round("rolling_mean_30", 6).alias("rolling_mean_30"))
 
 
 @query("p10_drop_nulls_subset", sql("""
@@ -530,9 +529,9 @@ daily AS (SELECT family, date, sales, onpromotion, is_holiday,
           FROM marked)"""
 
 
-@query("w5_interpolate", sql_rounded("SELECT * FROM daily", ["dcoilwtico"], ctes=FILLED))
+@query("w5_interpolate", sql_rounded("SELECT * FROM daily", ["dcoilwtico"], 9, ctes=FILLED))
 def _(spark, sf):
-    return round_all(S.daily_series(sales_panel(spark, sf)))
+    return round_all(S.daily_series(sales_panel(spark, sf)), 9)
 
 
 @query("w6_holdout_last", more(FILLED, """
