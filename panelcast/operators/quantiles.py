@@ -19,42 +19,51 @@ BELOW, INSIDE, ABOVE = 0, 1, 2
 
 def exact_quantile(df: DataFrame, by: list[str], columns: list[str], q: float,
                    accuracy: int = 10_000) -> DataFrame:
-    """One row per group with the linearly interpolated quantile of each column.
+    """One row per group with the linearly interpolated quantile of each column."""
+    return exact_quantiles(df, by, {c: (c, q) for c in columns}, accuracy)
+
+
+def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float]],
+                    accuracy: int = 10_000) -> DataFrame:
+    """``wanted`` maps an output name to (column, quantile).
 
     Two passes over ``df``, so hand in a materialized table. Nulls are skipped; a
     column without values gives null.
     """
     keys = [*by, "__all"]
-    rows = df.withColumn("__all", F.lit(1)).select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    sources = list(dict.fromkeys(c for c, _ in wanted.values()))
+    rows = df.withColumn("__all", F.lit(1)).select(*keys, *[F.col(c).cast("double").alias(c) for c in sources])
 
     # A sketch answers with a rank error of n/accuracy; twice that is a safe bracket.
     margin = 2.0 / accuracy
-    bracket = [max(0.0, q - margin), min(1.0, q + margin)]
+
+    def bracket(c: str, q: float) -> Column:
+        ends = [max(0.0, q - margin), min(1.0, q + margin)]
+        return F.struct(F.count(c).alias("n"), F.percentile_approx(c, ends, accuracy).alias("b"))
+
     sketch = materialize(
-        rows.groupBy(*keys).agg(*[
-            F.struct(F.count(c).alias("n"), F.percentile_approx(c, bracket, accuracy).alias("b")).alias(f"__s_{c}")
-            for c in columns
-        ]),
+        rows.groupBy(*keys).agg(*[bracket(c, q).alias(f"__s_{name}") for name, (c, q) in wanted.items()]),
         "quantile_bracket",
     )
 
-    def cell(c: str) -> Column:
-        value, lo, hi = F.col(c), F.col(f"__s_{c}.b")[0], F.col(f"__s_{c}.b")[1]
+    def cell(name: str, c: str, q: float) -> Column:
+        value, lo, hi = F.col(c), F.col(f"__s_{name}.b")[0], F.col(f"__s_{name}.b")[1]
         zone = F.when(value < lo, BELOW).when(value > hi, ABOVE).otherwise(INSIDE)
         return F.struct(
-            F.lit(c).alias("column"),
+            F.lit(name).alias("column"),
+            F.lit(float(q)).alias("q"),
             zone.alias("zone"),
             F.when(zone == INSIDE, value).alias("inside"),
             value.alias("value"),
-            F.col(f"__s_{c}.n").alias("n"),
+            F.col(f"__s_{name}.n").alias("n"),
         )
 
     counted = (
         rows.join(sketch, keys)
-        .select(*by, F.explode(F.array(*[cell(c) for c in columns])).alias("c"))
+        .select(*by, F.explode(F.array(*[cell(name, c, q) for name, (c, q) in wanted.items()])).alias("c"))
         .select(*by, "c.*")
         .where("value is not null")
-        .groupBy(*by, "column", "n", "zone", "inside")
+        .groupBy(*by, "column", "q", "n", "zone", "inside")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
     )
 
@@ -62,7 +71,7 @@ def exact_quantile(df: DataFrame, by: list[str], columns: list[str], q: float,
     # one row for all above.
     order = Window.partitionBy(*by, "column").orderBy("zone", "inside")
     upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    position = (F.col("n") - 1) * F.lit(float(q))
+    position = (F.col("n") - 1) * F.col("q")
     ranked = counted.select("*", (upto - F.col("rows")).alias("first"), (upto - 1).alias("last")).withColumns({
         "position": position, "lo_rank": F.floor(position), "hi_rank": F.ceil(position),
     })
@@ -85,7 +94,7 @@ def exact_quantile(df: DataFrame, by: list[str], columns: list[str], q: float,
     )
     quantile = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
     return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("column") == c, quantile)).alias(c) for c in columns]
+        *[F.max(F.when(F.col("column") == name, quantile)).alias(name) for name in wanted]
     )
 
 

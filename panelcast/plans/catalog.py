@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelcast.plans import (  # noqa: F401
     catalog_base,
+    catalog_linear,
     catalog_reports,
 
 )
