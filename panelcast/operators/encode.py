@@ -26,6 +26,23 @@ def fit_label(df: DataFrame, columns: list[str]) -> DataFrame:
     return ordinal(values, ["feature"], "value", "code")
 
 
+def fit_ordinal(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value, code) in each column's own order: whole numbers as numbers, text as text."""
+    kinds = dict(df.dtypes)
+    text = [c for c in columns if kinds[c] == "string"]
+    numbers = [c for c in columns if c not in text]
+
+    def coded(names: list[str], kind: str) -> DataFrame:
+        cells = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(c).cast(kind).alias("value")) for c in names
+        ]))
+        values = df.select(cells.alias("s")).select("s.*").where("value is not null")
+        return ordinal(values, ["feature"], "value", "code").withColumn("value", F.col("value").cast("string"))
+
+    parts = [coded(names, kind) for names, kind in ((text, "string"), (numbers, "bigint")) if names]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def fit_label_native(df: DataFrame, column: str) -> DataFrame:
     """(value, code) with positions in the column's own order, numbers as numbers."""
     values = df.select(F.lit(column).alias("feature"), F.col(column).alias("value")).where("value is not null")

@@ -74,6 +74,14 @@ def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.na.drop(how="any", subset=subset)
 
 
+def null_columns(df: DataFrame, columns: list[str]) -> list[str]:
+    """Those columns that hold a null; one aggregate over the frame."""
+    if not columns:
+        return []
+    row = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN into null in every floating column, so that aggregates skip it."""
     floats = [f.name for f in df.schema.fields

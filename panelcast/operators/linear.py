@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.columns import clip_lower
 from panelcast.operators.aggregates import daily_actual_vs_pred
-from panelcast.operators.features import before_date, between_dates, promo_scenarios
-from panelcast.operators.quantiles import exact_quantile
+from panelcast.operators.features import before_date, between_dates, null_columns, promo_scenarios
+from panelcast.operators.quantiles import exact_quantile, exact_quantiles
 from panelcast.session import materialize
 
 # Candidate features of the per-family models, penalties and cut-offs.
@@ -126,10 +126,10 @@ def grouped_ols(df: DataFrame, by: list[str], features: list[str], y: str = "sal
     """Per group: n, mean_y, intercept, coefs, mean_x and fill_x (arrays in feature order).
 
     Groups below ``min_n`` rows are left out. ``impute`` names the columns that may be
-    null (all features by default); they take the group's exact median. Hand in a
+    null (by default those that are); they take the group's exact median. Hand in a
     materialized table: it is read once per pass.
     """
-    impute = features if impute is None else impute
+    impute = null_columns(df, features) if impute is None else impute
     large = group_stats(df, by, features, y, [c for c in features if c in impute]).where(F.col("n") >= min_n)
     stats = materialize(large, "ols_stats")
     reduced = moments(df, stats, by, features, y).select(*by, "product").join(stats, by)
@@ -322,7 +322,7 @@ def grouped_lasso(df: DataFrame, by: list[str], features: list[str], y: str = "s
 
     One shuffle of moments by (group, fold) serves all penalties and the final fit.
     """
-    impute = features if impute is None else impute
+    impute = null_columns(df, features) if impute is None else impute
     large = group_stats(df, by, features, y, [c for c in features if c in impute]).where(F.col("n") >= min_n)
     stats = materialize(large, "lasso_stats")
     parts = moments(contiguous_folds(df, by, folds), stats, by, features, y, ["cv"])
@@ -351,8 +351,6 @@ def grouped_lasso(df: DataFrame, by: list[str], features: list[str], y: str = "s
 
 def residual_quantiles(train: DataFrame, by: list[str], y: str, yhat: str, taus: dict[str, float]) -> DataFrame:
     """Exact quantiles of the training residuals per group."""
-    from panelcast.operators.quantiles import exact_quantiles
-
     residuals = materialize(train.select(*by, (F.col(y) - F.col(yhat)).alias("__e")), "residuals")
     return exact_quantiles(residuals, by, {name: ("__e", tau) for name, tau in taus.items()})
 

@@ -113,12 +113,20 @@ def target_scale(df: DataFrame, q: float = 0.95, floor: float = 1.0, value: str
     return exact_quantile(df, [], [value], q).select(F.greatest(F.col(value), F.lit(floor)).alias("scale"))
 
 
-def impute_median(df: DataFrame, columns: list[str], by: list[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
-    """Fill nulls with the exact median of the group (of ``fit_on`` where given)."""
-    medians = exact_quantile(df if fit_on is None else fit_on, list(by), columns, 0.5)
-    renamed = medians.select(*by, F.lit(1).alias("__all"), *[F.col(c).alias(f"__m_{c}") for c in columns])
-    table = materialize(renamed, "medians")
+def fit_median(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Exact medians per group, written so that applying them is a join of known size."""
+    return materialize(exact_quantile(df, list(by), columns, 0.5), "medians")
+
+
+def apply_median(df: DataFrame, medians: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Fill nulls with the fitted median of the row's group."""
+    table = medians.select(*by, F.lit(1).alias("__all"), *[F.col(c).alias(f"__m_{c}") for c in columns])
     joined = df.withColumn("__all", F.lit(1)).join(table, [*by, "__all"], "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in columns}).drop(
         "__all", *[f"__m_{c}" for c in columns]
     )
+
+
+def impute_median(df: DataFrame, columns: list[str], by: list[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the exact median of the group (of ``fit_on`` where given)."""
+    return apply_median(df, fit_median(df if fit_on is None else fit_on, columns, by), columns, by)

@@ -263,12 +263,10 @@ def _(spark, sf):
     panel = windows.series_select(sales_panel(spark, sf, oil=False), [
         *windows.add_lags([7, 14, 30]), *windows.add_rolling([7, 30], "mean"), *windows.add_rolling([7, 30], "std")])
     table = materialize(panel.na.drop(subset=SEQUENCE_FEATURES).select(*KEY, "sales", *SEQUENCE_FEATURES), "features")
-    scored = None
-    for fold in FOLDS:
-        part = linear.quantile_forecast(folds.train_rows(table, fold), folds.test_rows(table, fold),
-                                        ["family"], SEQUENCE_FEATURES)
-        part = part.select(F.lit(fold[0]).alias("fold"), *KEY, F.col("sales").alias("y_true"), "q05", "q50", "q95")
-        scored = part if scored is None else scored.unionByName(part)
+    split = folds.assign_folds(table, FOLDS)
+    scored = linear.quantile_forecast(split.where("split = 'train'"), split.where("split = 'test'"),
+                                      ["fold", "family"], SEQUENCE_FEATURES)
+    scored = scored.withColumnRenamed("sales", "y_true")
     return round_all(reports.quantile_family_report(scored, segments(spark, sf)))
 
 
