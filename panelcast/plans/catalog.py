@@ -6,6 +6,7 @@ from panelcast.plans import (  # noqa: F401
     catalog_base,
     catalog_linear,
     catalog_reports,
+    catalog_series,
     catalog_trees,
 
 )
