@@ -7,6 +7,7 @@ from panelcast.plans import (  # noqa: F401
     catalog_linear,
     catalog_reports,
     catalog_series,
+    catalog_sources,
     catalog_trees,
 
 )
