@@ -8,13 +8,13 @@ cross products of each family; one small solve per family remains.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.linear import cross_products
 from panelcast.operators.windows import holdout_last
 from panelcast.session import materialize
 
@@ -81,28 +81,11 @@ def design(df: DataFrame, scales: DataFrame) -> DataFrame:
     )
 
 
-def cross_products(rows: DataFrame) -> DataFrame:
-    """(family, i, values): row i of the family's matrix of products of (x, z).
-
-    Each Arrow batch gives one partial matrix per family it holds; Spark adds them up.
-    """
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for family, part in batch.groupby("family"):
-                m = np.column_stack([np.stack(part["x"].to_list()), part["z"].to_numpy()])
-                gram = m.T @ m
-                yield pd.DataFrame({"family": family, "n": len(part), "i": range(SIZE + 1), "values": list(gram)})
-
-    parts = rows.select(*KEY, "x", "z").mapInPandas(partial, "family string, n long, i int, values array<double>")
-    return parts.groupBy(*KEY, "i").agg(
-        F.sum("n").alias("n"), F.array(*[F.sum(F.col("values")[j]) for j in range(SIZE + 1)]).alias("values")
-    )
-
-
 def solve_family(rows: pd.DataFrame) -> pd.DataFrame:
     """Ridge weights and residual deviation from one family's SIZE+1 matrix rows."""
     rows = rows.sort_values("i")
-    m, n = np.stack(rows["values"].to_list()), float(rows["n"].iloc[0])
+    m = np.stack(rows["values"].to_list())
+    n = float(m[0, 0])  # the design starts with a constant 1
     xx, xz, zz = m[:-1, :-1], m[:-1, -1], m[-1, -1]
     variance, beta = max(zz / n, 1e-12), np.zeros(SIZE)
     for _ in range(20):
@@ -117,7 +100,8 @@ def solve_family(rows: pd.DataFrame) -> pd.DataFrame:
 
 def fit(train: DataFrame, scales: DataFrame) -> DataFrame:
     """(family, beta, sigma) on the scaled target; SIZE+1 rows reach each solve."""
-    return cross_products(design(train, scales)).groupBy(*KEY).applyInPandas(
+    rows = design(train, scales).select(*KEY, F.concat("x", F.array("z")).alias("x"))
+    return cross_products(rows, KEY, SIZE + 1).groupBy(*KEY).applyInPandas(
         solve_family, "family string, beta array<double>, sigma double"
     )
 

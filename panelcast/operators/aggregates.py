@@ -169,17 +169,19 @@ def fit_stats(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFram
     return wide.select(*by, F.explode(F.array(*rows)).alias("s")).select(*by, "s.*")
 
 
-def most_frequent(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Most frequent text per column; a tie goes to the lowest value.
+def most_frequent(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Most frequent text per column (and group); a tie goes to the lowest value.
 
     Counts are taken per value first, so no task holds all values of a column.
     """
+    keys = [*by, "feature"]
     cells = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ]))
-    counts = df.select(cells.alias("s")).select("s.*").where("value is not null").groupBy("feature", "value").count()
-    highest = counts.groupBy("feature").agg(F.max("count").alias("count"))
-    return counts.join(highest, ["feature", "count"]).groupBy("feature").agg(F.min("value").alias("value"))
+    values = df.select(*by, cells.alias("s")).select(*by, "s.*").where("value is not null")
+    counts = values.groupBy(*keys, "value").count()
+    highest = counts.groupBy(*keys).agg(F.max("count").alias("count"))
+    return counts.join(highest, [*keys, "count"]).groupBy(*keys).agg(F.min("value").alias("value"))
 
 
 def append_mean_row(table: DataFrame, label: dict[str, object], metrics: list[str],
@@ -193,3 +195,11 @@ def append_mean_row(table: DataFrame, label: dict[str, object], metrics: list[st
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
+
+
+def distinct_cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value) for every distinct text of the columns."""
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
+    ]))
+    return df.select(cells.alias("s")).select("s.*").where("value is not null").distinct()

@@ -15,8 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import clip_lower
-from panelcast.operators.aggregates import daily_actual_vs_pred
-from panelcast.operators.features import before_date, between_dates, null_columns, promo_scenarios
+from panelcast.operators.aggregates import daily_actual_vs_pred, distinct_cells, most_frequent
+from panelcast.operators.features import (
+    before_date,
+    between_dates,
+    null_columns,
+    promo_scenarios,
+    split_features,
+)
+from panelcast.operators.folds import Fold, assign_folds
+from panelcast.operators.joins import in_segment
 from panelcast.operators.quantiles import exact_quantile, exact_quantiles
 from panelcast.session import materialize
 
@@ -82,18 +90,60 @@ def moments(df: DataFrame, stats: DataFrame, by: list[str], features: list[str],
     whole group, so parts add up and subtract.
     """
     size = len(features) + 1
+    keys = [*by, *part]
     centred = [x - F.col("mean_x")[i] for i, x in enumerate(filled(features))]
     centred.append(F.col(y).cast("double") - F.col("mean_y"))
+    joined = df.join(stats, by)
+    if size > WIDE:
+        rows = joined.select(*keys, F.array(F.lit(1.0), *centred).alias("x"))
+        return packed(cross_products(rows, keys, size + 1), keys, size)
     z = [F.col(f"__z{i}") for i in range(size)]
-    rows = df.join(stats, by).select(*by, *part, *[c.alias(f"__z{i}") for i, c in enumerate(centred)])
+    rows = joined.select(*keys, *[c.alias(f"__z{i}") for i, c in enumerate(centred)])
     products = [F.sum(z[i] * z[j]) for i in range(size) for j in range(i, size)]
-    return rows.groupBy(*by, *part).agg(
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
         F.array(*[F.sum(c) for c in z]).alias("total"),
         F.array(*products).alias("product"),
     )
 
 
+# Beyond this many columns a product per pair no longer fits one generated aggregate.
+WIDE = 20
+
+
+def cross_products(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """(keys, i, values): row i of each group's matrix of products of the array ``x``.
+
+    Each Arrow batch gives one partial matrix per group it holds; Spark adds them up,
+    map side first.
+    """
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, part in batch.groupby(keys, sort=False):
+                m = np.stack(part["x"].to_list())
+                out = pd.DataFrame({"i": range(size), "values": list(m.T @ m)})
+                for c, v in zip(reversed(keys), reversed(key)):
+                    out.insert(0, c, v)
+                yield out
+
+    parts = rows.select(*keys, "x").mapInPandas(partial, f"{types}, i int, values array<double>")
+    return parts.groupBy(*keys, "i").agg(F.array(*[F.sum(F.col("values")[j]) for j in range(size)]).alias("values"))
+
+
+def packed(matrix: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Moments of arrays that start with a constant 1, from their matrix rows."""
+    lines = F.array_sort(F.collect_list(F.struct("i", "values")))
+    upper = F.flatten(F.transform(F.slice("m", 2, size), lambda r: F.slice(r["values"], r["i"] + 1, size)))
+    return matrix.groupBy(*keys).agg(lines.alias("m")).select(
+        *keys,
+        F.col("m")[0]["values"][0].cast("long").alias("rows"),
+        F.slice(F.col("m")[0]["values"], 2, size).alias("total"),
+        upper.alias("product"),
+    )
+
+
 def square(packed: np.ndarray, size: int) -> np.ndarray:
     full = np.zeros((size, size))
     full[np.triu_indices(size)] = packed
@@ -181,6 +231,44 @@ def promotion_effect(models: DataFrame, segments: DataFrame, features: list[str]
     return table.join(segments.select("family", "segment"), "family")
 
 
+# --- one model for all families ----------------------------------------------------------
+
+MAX_CATEGORIES = 500
+
+
+def linear_oof(df: DataFrame, folds: list[Fold], segments: DataFrame, names: list[str] = ("High", "Medium"),
+               y: str = "sales", keys: list[str] = ("date", "store_nbr", "family")) -> DataFrame:
+    """Linear model on all families of each fold's training rows, scored on the named segments.
+
+    Numbers take the median and text the most frequent value of the training rows; text
+    is one-hot, a value unseen in training being all zero. All folds are fitted by the
+    same passes. Hand in a materialized table.
+    """
+    numeric, text = split_features(df, [*keys, y])
+    gaps = null_columns(df, [*numeric, *text])
+    rows = assign_folds(df, folds)
+    train, test = rows.where("split = 'train'"), in_segment(rows.where("split = 'test'"), segments, list(names))
+
+    known = distinct_cells(train, text).limit(MAX_CATEGORIES + 1).collect()
+    if len(known) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {text}: encode them as numbers first")
+    flags = [(f"{r['feature']}={r['value']}", r["feature"], r["value"]) for r in sorted(known)]
+    holes = [c for c in text if c in gaps]
+    modes = materialize(most_frequent(train, holes, ["fold"]).groupBy("fold").pivot("feature", holes).agg(
+        F.first("value")).select("fold", *[F.col(c).alias(f"__mode_{c}") for c in holes]), "modes") if holes else None
+
+    def encoded(part: DataFrame) -> DataFrame:
+        if modes is not None:
+            part = part.join(modes, "fold", "left").withColumns(
+                {c: F.coalesce(F.col(c), F.col(f"__mode_{c}")) for c in holes})
+        return part.withColumns({name: F.when(F.col(c) == v, 1.0).otherwise(0.0) for name, c, v in flags})
+
+    features = [*numeric, *[name for name, _, _ in flags]]
+    models = grouped_ols(encoded(train), ["fold"], features, y, min_n=1, impute=[c for c in numeric if c in gaps])
+    scored = predict(encoded(test), materialize(models, "linear_models"), ["fold"], features)
+    return scored.select(*keys, "fold", F.col(y).alias("y_true"), "y_pred")
+
+
 # --- what-if and baseline ----------------------------------------------------------------
 
 

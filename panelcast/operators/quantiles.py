@@ -8,10 +8,11 @@ only those few are ranked.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import clip_upper
+from panelcast.operators.ranking import ONE_SORT, running_total
 from panelcast.session import materialize
 
 BELOW, INSIDE, ABOVE = 0, 1, 2
@@ -24,7 +25,7 @@ def exact_quantile(df: DataFrame, by: list[str], columns: list[str], q: float,
 
 
 def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float]],
-                    accuracy: int = 10_000) -> DataFrame:
+                    accuracy: int = 10_000, one_sort: int = ONE_SORT) -> DataFrame:
     """``wanted`` maps an output name to (column, quantile).
 
     Two passes over ``df``, so hand in a materialized table. Nulls are skipped; a
@@ -68,11 +69,10 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, f
     )
 
     # Ranks run over the bracket only: one row for all below, the distinct values inside,
-    # one row for all above.
-    order = Window.partitionBy(*by, "column").orderBy("zone", "inside")
-    upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    # one row for all above. The lowest value orders them.
     position = (F.col("n") - 1) * F.col("q")
-    ranked = counted.select("*", (upto - F.col("rows")).alias("first"), (upto - 1).alias("last")).withColumns({
+    upto = running_total(materialize(counted, "quantile_values"), [*by, "column"], "lowest", F.col("rows"), "upto", one_sort)
+    ranked = upto.select("*", (F.col("upto") - F.col("rows")).alias("first"), (F.col("upto") - 1).alias("last")).withColumns({
         "position": position, "lo_rank": F.floor(position), "hi_rank": F.ceil(position),
     })
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.session import materialize
+
 
 def rank_small(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Row number over a result with one row per family, model or fold."""
@@ -18,33 +22,70 @@ def top_k(df: DataFrame, by: str, k: int, tie: list[str], ascending: bool = Fals
 
 
 def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """n rows picked by a seeded hash of the key: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys).limit(n)
+    """n rows picked by a seeded hash of the key, the same on every run; all if fewer.
+
+    The rows with the n smallest hashes win. Only rows below a hash bound that lets a
+    few more than n pass are sorted, so the tasks do not each hand over n rows.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    space = 1 << 53
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(space))
+    expected = n + 10 * math.sqrt(n) + 10
+    near = df
+    if expected < total:
+        near = materialize(df.where(place < int(space * expected / total)), "sample")
+        if near.count() < n:
+            near = df
+    return near.orderBy(place, *keys).limit(n)
+
 
+# Rows a single sort may take; larger groups are cut into ranges first.
+ONE_SORT = 2_000_000
 
-def ordinal(values: DataFrame, by: list[str], value: str, name: str, splits: int = 64) -> DataFrame:
-    """0-based position of each distinct value within its group, in ascending order.
 
-    A wide domain is not ranked in one task: up to ``splits`` values chosen by hash cut
-    the domain into ranges, each range is ranked by itself and starts where the ranges
-    below it end.
+def running_total(df: DataFrame, by: list[str], value: str, weight: Column, name: str,
+                  one_sort: int = ONE_SORT, ranges: int = 256) -> DataFrame:
+    """Sum of ``weight`` over the group's rows up to and including this one, by ``value``.
+
+    ``df`` must be materialized and hold each value once per group. A group too long for
+    one sort is cut at values chosen by hash; each range is summed by itself and starts
+    where the ranges below it end.
     """
-    distinct = values.select(*by, value).distinct()
-    bucket = F.pmod(F.xxhash64(value), F.lit(splits))
+    keys = [*by, "__all"]
+    rows = df.withColumns({"__all": F.lit(1), "__w": weight})
+    largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    upto = Window.unboundedPreceding
+    if largest <= one_sort:
+        w = Window.partitionBy(*keys).orderBy(value).rowsBetween(upto, 0)
+        return rows.withColumn(name, F.sum("__w").over(w)).drop("__w", "__all")
+
+    bucket = F.pmod(F.xxhash64(value), F.lit(ranges))
     cuts = (
-        distinct.groupBy(*by, bucket.alias("__h"))
+        rows.groupBy(*keys, bucket.alias("__h"))
         .agg(F.min_by(value, F.xxhash64(F.lit(1), F.col(value))).alias("__c"))
-        .groupBy(*by)
+        .groupBy(*keys)
         .agg(F.collect_list("__c").alias("__cuts"))
     )
     below = F.size(F.filter("__cuts", lambda c: c <= F.col(value)))
-    ranged = distinct.join(cuts, by).select(*by, value, below.alias("__range"))
-    sizes = ranged.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*by, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(*by, "__range").orderBy(value)
+    ranged = materialize(
+        rows.join(materialize(cuts, "cuts"), keys).withColumn("__range", below).drop("__cuts"), "ranges"
+    )
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("__w").alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(upto, -1)
+    starts = sums.select(*keys, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(upto, 0)
     return (
-        ranged.withColumn("__r", F.row_number().over(inside))
-        .join(starts, [*by, "__range"])
-        .select(*by, value, (F.col("__start") + F.col("__r") - 1).cast("int").alias(name))
+        ranged.withColumn("__s", F.sum("__w").over(inside))
+        .join(materialize(starts, "range_starts"), [*keys, "__range"])
+        .withColumn(name, F.col("__start") + F.col("__s"))
+        .drop("__w", "__all", "__range", "__s", "__start")
     )
+
+
+def ordinal(values: DataFrame, by: list[str], value: str, name: str, one_sort: int = ONE_SORT) -> DataFrame:
+    """0-based position of each distinct value within its group, in ascending order."""
+    distinct = materialize(values.select(*by, value).distinct(), "domain")
+    ranked = running_total(distinct, by, value, F.lit(1), "__upto", one_sort)
+    return ranked.select(*by, value, (F.col("__upto") - 1).cast("int").alias(name))

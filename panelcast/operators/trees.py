@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import clip_lower, unlog
-from panelcast.operators.aggregates import family_weights, most_frequent
+from panelcast.operators.aggregates import family_weights
 from panelcast.operators.encode import apply_label, fit_label, fit_ordinal
-from panelcast.operators.features import features_of, fill_constants, null_columns, split_features, year_weight
+from panelcast.operators.features import features_of, fill_constants, split_features, year_weight
 from panelcast.operators.folds import Fold, assign_folds, test_rows, train_rows, validation_cut
 from panelcast.operators.joins import in_families, in_segment, map_weight
-from panelcast.operators.quantiles import apply_median, clip_outliers, fit_median
+from panelcast.operators.quantiles import clip_outliers
 from panelcast.session import materialize
 
 # The features of each model.
@@ -222,37 +222,3 @@ def boosted_oof(df: DataFrame, folds: list[Fold], loss: str = "squared", iterati
         scored = model.transform(nominal(test_rows(coded, fold), mapping, text))
         parts.append(predictions(scored, fold[0], F.col("prediction"), y))
     return union(parts)
-
-
-# --- linear regression over all families -------------------------------------------------
-
-
-def linear_oof(df: DataFrame, folds: list[Fold], segments: DataFrame, names: list[str] = ("High", "Medium"),
-               y: str = "sales") -> DataFrame:
-    """Linear model fitted on all families of each fold, scored on the named segments.
-
-    Numbers take the median and text the most frequent value of the training rows;
-    categories are one-hot with unseen values all zero.
-    """
-    numeric, text = split_features(df, [*KEY, y])
-    table = materialize(df, "linear_input")
-    gaps = null_columns(table, numeric)
-    parts = []
-    for fold in folds:
-        train, test = train_rows(table, fold), in_segment(test_rows(table, fold), segments, list(names))
-        modes = {r["feature"]: r["value"] for r in most_frequent(train, text).collect()}
-        medians = fit_median(train, gaps) if gaps else None
-
-        def complete(rows: DataFrame) -> DataFrame:
-            rows = apply_median(rows, medians, gaps) if gaps else rows
-            return rows.na.fill(modes)
-
-        index = StringIndexer(inputCols=text, outputCols=[f"{c}_ix" for c in text], handleInvalid="keep",
-                              stringOrderType="alphabetAsc")
-        flags = OneHotEncoder(inputCols=[f"{c}_ix" for c in text], outputCols=[f"{c}_flags" for c in text])
-        vectors = assembler([*numeric, *[f"{c}_flags" for c in text]])
-        fit = LinearRegression(labelCol=y, solver="normal", regParam=0.0)
-        model = Pipeline(stages=[index, flags, vectors, fit]).fit(materialize(complete(train), "linear_train"))
-        parts.append(model.transform(complete(test)).select(
-            *KEY, F.lit(fold[0]).alias("fold"), F.col(y).alias("y_true"), F.col("prediction").alias("y_pred")))
-    return union(parts)

@@ -14,6 +14,7 @@ from panelcast.plans.panel import (
     FOLDS,
     YEAR_WEIGHTS,
     feature_panel,
+    panel_table,
     sales_panel,
     segments,
     stand_in_predictions,
@@ -56,7 +57,7 @@ def _(spark, sf):
 SELECT date, store_nbr, family, sales FROM panel
 WHERE family IN (SELECT family FROM seg WHERE segment = 'Medium')"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     return joins.in_segment(panel, segments(spark, sf, panel), ["Medium"]).select(*KEY, "sales")
 
 
@@ -64,7 +65,7 @@ def _(spark, sf):
 SELECT date, store_nbr, family, sales FROM panel
 WHERE family NOT IN (SELECT family FROM seg WHERE segment IN ('High', 'Medium'))"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     return joins.in_segment(panel, segments(spark, sf, panel), ["High", "Medium"], negate=True).select(*KEY, "sales")
 
 
@@ -195,7 +196,7 @@ def _(spark, sf):
 SELECT date, store_nbr, family, round(sales / scale * scale, 6) AS sales, round(sales / scale, 6) AS scaled
 FROM panel, (SELECT greatest(quantile_cont(sales, 0.95), 1.0) AS scale FROM panel)"""))
 def _(spark, sf):
-    panel = materialize(sales_panel(spark, sf, oil=False), "panel")
+    panel = panel_table(spark, sf)
     scale = quantiles.target_scale(panel).scalar()
     scaled = panel.select(*KEY, F.try_divide(F.col("sales"), scale).alias("scaled"))
     return round_all(scaled.withColumn("sales", C.rescale("scaled", scale)))
@@ -208,7 +209,7 @@ def _(spark, sf):
 SELECT p.date, p.store_nbr, p.family, CASE WHEN seg.segment <> 'Low' THEN seg.segment END AS segment
 FROM panel p LEFT JOIN seg ON p.family = seg.family"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     known = segments(spark, sf, panel).where("segment <> 'Low'")
     return joins.with_segment(panel, known).select(*KEY, "segment")
 
@@ -217,7 +218,7 @@ def _(spark, sf):
 SELECT p.date, p.store_nbr, p.family, seg.segment
 FROM panel p JOIN seg ON p.family = seg.family WHERE seg.segment <> 'Low'"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     known = segments(spark, sf, panel).where("segment <> 'Low'")
     return joins.with_segment(panel, known, how="inner").select(*KEY, "segment")
 
@@ -226,11 +227,11 @@ def _(spark, sf):
 cal AS (SELECT family, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
         FROM rollup_daily GROUP BY family)""", """
 SELECT cal.family, cal.date, COALESCE(r.sales, 0) AS sales, COALESCE(r.onpromotion, 0) AS onpromotion,
-       COALESCE(r.is_holiday, 0) AS is_holiday, r.dcoilwtico
+       COALESCE(r.is_holiday, 0) AS is_holiday, round(r.dcoilwtico, 6) AS dcoilwtico
 FROM cal LEFT JOIN rollup_daily r ON cal.family = r.family AND cal.date = r.date"""))
 def _(spark, sf):
     daily = A.daily_rollup(sales_panel(spark, sf))
-    return windows.fill_calendar(daily, ["family"], S.ZERO_FILLED)
+    return round_all(windows.fill_calendar(daily, ["family"], S.ZERO_FILLED))
 
 
 @query("j4_map_weight", sql_rounded("""
@@ -241,7 +242,7 @@ FROM panel p LEFT JOIN (
   FROM panel WHERE family IN (SELECT family FROM seg WHERE segment = 'High') GROUP BY family) w
 ON p.family = w.family""", ["weight"]))
 def _(spark, sf):
-    panel = materialize(sales_panel(spark, sf, oil=False), "panel")
+    panel = panel_table(spark, sf)
     core = joins.in_segment(panel, segments(spark, sf, panel), ["High"])
     weights = materialize(A.family_weights(core), "weights")
     return round_all(joins.map_weight(panel, weights).select(*KEY, "weight"))
@@ -250,7 +251,7 @@ def _(spark, sf):
 @query("j5_segment_if_absent", sql("""
 SELECT DISTINCT p.family, seg.segment FROM panel p LEFT JOIN seg ON p.family = seg.family"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     seg = segments(spark, sf, panel)
     once = joins.with_segment(panel, seg, only_if_absent=True)
     return joins.with_segment(once, seg.limit(0), only_if_absent=True).select("family", "segment").distinct()
@@ -269,7 +270,7 @@ def _(spark, sf):
 @query("j7_attach_by_key", sql("""
 SELECT date, store_nbr, family, sales, sales_lag_7 AS y_pred FROM feat"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False).select(*KEY, "sales")
+    panel = panel_table(spark, sf).select(*KEY, "sales")
     predictions = windows.series_select(panel, windows.add_lags([7])).select(
         *KEY, F.col("sales_lag_7").alias("y_pred")
     )
@@ -289,7 +290,7 @@ SELECT 'semi' AS kind, count(*) AS n FROM panel WHERE family IN (SELECT family F
 UNION ALL
 SELECT 'anti', count(*) FROM panel WHERE family NOT IN (SELECT family FROM seg WHERE segment = 'High')"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     seg = segments(spark, sf, panel)
     semi = joins.in_segment(panel, seg, ["High"]).select(F.lit("semi").alias("kind"))
     anti = joins.in_segment(panel, seg, ["High"], negate=True).select(F.lit("anti").alias("kind"))
@@ -333,7 +334,7 @@ SELECT p.family, seg.segment, avg(CASE WHEN onpromotion > 0 THEN NULL ELSE sales
 FROM panel p JOIN seg ON p.family = seg.family GROUP BY p.family, seg.segment""",
                                            ["avg_sales_nonpromo", "avg_sales_promo", "uplift_rel"]))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     return round_all(A.promo_vs_nonpromo(joins.with_segment(panel, segments(spark, sf, panel))))
 
 
@@ -341,7 +342,7 @@ def _(spark, sf):
 SELECT p.family, sum(sales) AS total_sales, seg.segment FROM panel p JOIN seg ON p.family = seg.family
 GROUP BY p.family, seg.segment ORDER BY total_sales DESC, p.family LIMIT 10"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     totals = joins.with_segment(A.family_totals(panel), segments(spark, sf, panel))
     return ranking.top_k(totals, "total_sales", 10, ["family"])
 
@@ -391,7 +392,7 @@ FROM panel p JOIN (SELECT family, greatest(quantile_cont(sales, 0.99), 10) AS ca
 WHERE p.date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'
   AND p.family IN (SELECT family FROM seg WHERE segment = 'Medium')""", ["sales", "cap"]))
 def _(spark, sf):
-    panel = materialize(sales_panel(spark, sf, oil=False), "panel")
+    panel = panel_table(spark, sf)
     medium = joins.in_segment(panel, segments(spark, sf, panel), ["Medium"])
     train = folds.train_rows(medium, FOLDS[0])
     return round_all(quantiles.clip_outliers(train, keep_cap=True).select(*KEY, "sales", "cap"))
@@ -399,7 +400,7 @@ def _(spark, sf):
 
 @query("a10_target_scale", sql("SELECT round(greatest(quantile_cont(sales, 0.95), 1.0), 6) AS scale FROM panel"))
 def _(spark, sf):
-    return round_all(quantiles.target_scale(materialize(sales_panel(spark, sf, oil=False), "panel")))
+    return round_all(quantiles.target_scale(panel_table(spark, sf)))
 
 
 @query("a16_family_weights", sql_rounded("""
@@ -414,7 +415,7 @@ SELECT family, sum(sales) / (SELECT avg(t) FROM (SELECT sum(sales) t FROM panel
   WHERE family IN (SELECT family FROM seg WHERE segment = 'High') GROUP BY family)) AS weight
 FROM panel WHERE family IN (SELECT family FROM seg WHERE segment = 'High') GROUP BY family""", ["weight"]))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     return round_all(A.family_weights(joins.in_segment(panel, segments(spark, sf, panel), ["High"])))
 
 
@@ -558,8 +559,8 @@ def _(spark, sf):
 SELECT o.family, min(o.segment) AS segment, count(*) AS n FROM oof o GROUP BY o.family"""))
 def _(spark, sf):
     # The segment depends on the family alone, so any row of the group gives it.
-    oof = stand_in_predictions(spark, sf)
-    tagged = joins.with_segment(oof, segments(spark, sf))
+    panel = panel_table(spark, sf)
+    tagged = joins.with_segment(stand_in_predictions(spark, sf, panel), segments(spark, sf, panel))
     return tagged.groupBy("family").agg(F.min("segment").alias("segment"), F.count(F.lit(1)).alias("n"))
 
 
@@ -612,7 +613,7 @@ def _(spark, sf):
 SELECT 'lag' AS model, date, store_nbr, family, fold, round(y_pred, 6) AS y_pred FROM oof
 UNION ALL SELECT 'mean', date, store_nbr, family, fold, round(y_pred_mean, 6) FROM oof"""))
 def _(spark, sf):
-    oof = stand_in_predictions(spark, sf)
+    oof = stand_in_predictions(spark, sf, panel_table(spark, sf))
     lag = oof.select(F.lit("lag").alias("model"), *KEY, "fold", "y_pred")
     mean = oof.select(F.lit("mean").alias("model"), *KEY, "fold", F.col("y_pred_mean").alias("y_pred"))
     return round_all(lag.unionByName(mean))
@@ -622,7 +623,7 @@ def _(spark, sf):
 SELECT family, sum(sales) AS total_sales, NULL AS cluster, NULL AS mean_sale FROM panel GROUP BY family
 UNION ALL SELECT NULL, NULL, cluster, avg(sales) FROM panel GROUP BY cluster""", ["mean_sale"]))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     by_cluster = panel.groupBy("cluster").agg(F.avg("sales").alias("mean_sale"))
     return round_all(A.family_totals(panel).unionByName(by_cluster, allowMissingColumns=True))
 
@@ -630,7 +631,7 @@ def _(spark, sf):
 @query("u3_distinct_union", sql("""
 SELECT DISTINCT city AS value FROM panel WHERE date BETWEEN DATE '1997-01-01' AND DATE '2000-03-31'"""))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
+    panel = panel_table(spark, sf)
     return encode.distinct_union(folds.train_rows(panel, FOLDS[0]), folds.test_rows(panel, FOLDS[0]), "city")
 
 

@@ -9,7 +9,7 @@ from panelcast.operators import aggregates as A
 from panelcast.operators import attribution, features, folds, joins, linear, promo, ranking, reports, windows
 from panelcast.plans.catalog_base import KEY, round_all
 from panelcast.plans.oracle import more, sql_rounded
-from panelcast.plans.panel import FOLDS, WHAT_IF_MONTH, feature_panel, sales_panel, segments
+from panelcast.plans.panel import FOLDS, WHAT_IF_MONTH, panel_table, sales_panel, segments
 from panelcast.plans.registry import query
 from panelcast.session import materialize
 
@@ -25,6 +25,11 @@ def promo_features(spark, sf) -> DataFrame:
     return materialize(features.add_promo_interactions(panel), "promo_features")
 
 
+def promo_panel(spark, sf) -> DataFrame:
+    """Panel with the promotion interactions, written once."""
+    return materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "promo_panel")
+
+
 NULLABLE = ["dcoilwtico", "sales_lag_7", "sales_lag_14", "rolling_mean_30"]
 
 # Three-feature least squares by Cramer's rule, over rows of pe grouped by family.
@@ -51,7 +56,7 @@ SELECT family, count(*) AS n, avg(sales) AS mean_y, regr_slope(sales, onpromotio
        regr_intercept(sales, onpromotion) AS intercept FROM panel GROUP BY family HAVING count(*) >= 30""",
                                                  ["mean_y", "coef", "intercept"]))
 def _(spark, sf):
-    panel = materialize(sales_panel(spark, sf, oil=False), "panel")
+    panel = panel_table(spark, sf)
     models = linear.grouped_ols(panel, ["family"], ["onpromotion"], impute=[])
     return round_all(models.select("family", "n", "mean_y", F.col("coefs")[0].alias("coef"), "intercept"))
 
@@ -64,7 +69,7 @@ SELECT ols.family, seg.segment, b1 AS coef_promo, b2 AS coef_promo_weekend, b3 A
 FROM ols JOIN seg ON ols.family = seg.family WHERE n >= 30""",
                                           ["coef_promo", "coef_promo_weekend", "coef_promo_holiday", "mean_sale"], ctes=EFFECT))
 def _(spark, sf):
-    panel = materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "panel")
+    panel = promo_panel(spark, sf)
     models = linear.grouped_ols(panel, ["family"], PROMO, impute=[])
     return round_all(linear.promotion_effect(models, segments(spark, sf, panel), PROMO))
 
@@ -99,7 +104,7 @@ def _(spark, sf):
 
 
 def promo_chain(spark, sf) -> DataFrame:
-    panel = materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "panel")
+    panel = promo_panel(spark, sf)
     models = linear.grouped_ols(panel, ["family"], PROMO, impute=[])
     effect = linear.promotion_effect(models, segments(spark, sf, panel), PROMO)
     return promo.promo_uplift(materialize(effect, "promotion_effect"))
@@ -148,7 +153,7 @@ SELECT p.date, p.store_nbr, p.family, s.scenario,
 FROM pe p JOIN ols ON p.family = ols.family CROSS JOIN (VALUES ('with_promo'), ('no_promo')) s(scenario)
 WHERE p.date BETWEEN DATE '{LO}' AND DATE '{HI}'""", ["sales_pred"], ctes=WHAT_IF))
 def _(spark, sf):
-    panel = materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "panel")
+    panel = promo_panel(spark, sf)
     return round_all(linear.promo_what_if(panel, PROMO, LO, HI, impute=[]))
 
 
@@ -163,7 +168,7 @@ SELECT p.family, p.date, sum(p.sales) AS actual, sum(b0) AS baseline, max(CASE W
 FROM pe p JOIN ols ON p.family = ols.family WHERE ols.n >= 50 AND p.date BETWEEN DATE '{LO}' AND DATE '{HI}'
 GROUP BY p.family, p.date""", ["actual", "baseline"], ctes=WHAT_IF))
 def _(spark, sf):
-    panel = materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "panel")
+    panel = promo_panel(spark, sf)
     return round_all(linear.baseline_vs_actual(panel, PROMO, LO, HI, impute=[]))
 
 
@@ -197,7 +202,7 @@ kept AS (SELECT family, feature FROM (
 
 
 def kept_features(spark, sf) -> tuple[DataFrame, DataFrame]:
-    panel = materialize(sales_panel(spark, sf, oil=False), "panel")
+    panel = panel_table(spark, sf)
     parts = None
     for c in ("onpromotion", "is_weekend", "is_holiday"):
         models = linear.grouped_ols(panel, ["family"], [c], impute=[])
@@ -260,14 +265,15 @@ SEQUENCE_FEATURES = ["onpromotion", "sales_lag_7", "sales_lag_14", "sales_lag_30
 
 @query("m15_quantile_forecast")
 def _(spark, sf):
-    panel = windows.series_select(sales_panel(spark, sf, oil=False), [
+    base = panel_table(spark, sf)
+    panel = windows.series_select(base, [
         *windows.add_lags([7, 14, 30]), *windows.add_rolling([7, 30], "mean"), *windows.add_rolling([7, 30], "std")])
     table = materialize(panel.na.drop(subset=SEQUENCE_FEATURES).select(*KEY, "sales", *SEQUENCE_FEATURES), "features")
     split = folds.assign_folds(table, FOLDS)
     scored = linear.quantile_forecast(split.where("split = 'train'"), split.where("split = 'test'"),
                                       ["fold", "family"], SEQUENCE_FEATURES)
     scored = scored.withColumnRenamed("sales", "y_true")
-    return round_all(reports.quantile_family_report(scored, segments(spark, sf)))
+    return round_all(reports.quantile_family_report(scored, segments(spark, sf, base)))
 
 
 # --- attribution of a linear model -------------------------------------------------------
@@ -280,7 +286,7 @@ ct AS (
 
 
 def promo_contributions(spark, sf) -> DataFrame:
-    panel = materialize(features.add_promo_interactions(sales_panel(spark, sf, oil=False)), "panel")
+    panel = promo_panel(spark, sf)
     models = materialize(linear.grouped_ols(panel, ["family"], PROMO, impute=[]), "models")
     return attribution.contributions(panel, models, ["family"], PROMO, KEY)
 

@@ -13,7 +13,7 @@ from panelcast.operators import joins, reports, windows
 from panelcast.operators import series as S
 from panelcast.plans.catalog_base import FILLED, KEY, round_all
 from panelcast.plans.oracle import more, sql, sql_rounded
-from panelcast.plans.panel import FOLDS, sales_panel, segments, stand_in_predictions
+from panelcast.plans.panel import FOLDS, panel_table, sales_panel, segments, stand_in_predictions
 from panelcast.plans.registry import query
 from panelcast.session import materialize
 
@@ -110,9 +110,9 @@ QUANTILES = """
 q AS (SELECT *, y_pred_mean * 0.2 AS q05, y_pred_mean AS q50, y_pred_mean * 2.0 AS q95 FROM oof)"""
 
 
-def stand_in_quantiles(spark, sf) -> DataFrame:
+def stand_in_quantiles(spark, sf, panel: DataFrame | None = None) -> DataFrame:
     mean = F.col("y_pred_mean")
-    return stand_in_predictions(spark, sf).withColumns({"q05": mean * 0.2, "q50": mean, "q95": mean * 2.0})
+    return stand_in_predictions(spark, sf, panel).withColumns({"q05": mean * 0.2, "q50": mean, "q95": mean * 2.0})
 
 
 COVERED = "100 * avg(CASE WHEN y_true >= {lo} AND y_true <= {hi} THEN 1.0 ELSE 0.0 END) AS coverage_95, avg({hi} - {lo}) AS avg_width"
@@ -136,8 +136,9 @@ dp AS (SELECT * FROM (
 db AS (SELECT *, y_pred - 20 AS lower, y_pred + 20 AS upper FROM dp)"""
 
 
-def stand_in_daily(spark, sf) -> DataFrame:
-    panel = materialize(sales_panel(spark, sf), "panel")
+def stand_in_daily(spark, sf, panel: DataFrame | None = None) -> DataFrame:
+    if panel is None:
+        panel = panel_table(spark, sf, oil=True)
     daily = windows.series_select(S.daily_series(panel), windows.add_lags([7]), keys=["family"])
     test = windows.holdout_last(daily, 90, ["family"]).where("is_test")
     scored = test.select("family", "date", F.col("sales").alias("y_true"), F.col("sales_lag_7").alias("y_pred"),
@@ -169,8 +170,8 @@ def _(spark, sf):
 
 
 def _tagged(spark, sf, names: list[str] | None = None) -> DataFrame:
-    oof = stand_in_predictions(spark, sf)
-    seg = segments(spark, sf)
+    panel = panel_table(spark, sf)
+    oof, seg = stand_in_predictions(spark, sf, panel), segments(spark, sf, panel)
     if names is not None:
         seg = seg.where(F.col("segment").isin(names))
     return materialize(joins.with_segment(oof, seg, how="inner"), "oof")
@@ -225,8 +226,8 @@ FROM folds f JOIN (SELECT fold, {FOLD_METRICS} FROM oof GROUP BY fold) m ON f.fo
 UNION ALL
 SELECT 'all_folds', NULL, NULL, NULL, NULL, NULL, {FOLD_METRICS} FROM oof""", ["rmse", "mae", "mape", "r2"]))
 def _(spark, sf):
-    panel = sales_panel(spark, sf, oil=False)
-    return round_all(reports.boosted_fold_report(stand_in_predictions(spark, sf), panel, FOLDS))
+    panel = panel_table(spark, sf)
+    return round_all(reports.boosted_fold_report(stand_in_predictions(spark, sf, panel), panel, FOLDS))
 
 
 @query("a20_fold_summary", sql("""
@@ -355,8 +356,9 @@ def _additive_digits(df: DataFrame) -> DataFrame:
 FROM (SELECT * FROM ad UNION ALL SELECT 'AVG_' || segment, {ADDITIVE_MEANS}, segment FROM ad GROUP BY segment
       UNION ALL SELECT NULL, {ADDITIVE_MEANS}, 'ALL_GROUPS' FROM ad)"""))
 def _(spark, sf):
-    means = sales_panel(spark, sf, oil=False).groupBy("family").agg(F.avg("sales").alias("mean_sales"))
-    return _additive_digits(reports.additive_report(stand_in_daily(spark, sf), means))
+    panel = panel_table(spark, sf, oil=True)
+    means = panel.groupBy("family").agg(F.avg("sales").alias("mean_sales"))
+    return _additive_digits(reports.additive_report(stand_in_daily(spark, sf, panel), means))
 
 
 def _quantile_sql(r2: str) -> str:
@@ -385,7 +387,8 @@ SELECT family AS family_name, {_quantile_sql(f"CASE WHEN {CONSTANT} THEN NULL EL
        CASE WHEN avg(y_true) > 0 THEN avg(abs(y_true - q50)) / avg(y_true) END AS WAPE, segment
 FROM q GROUP BY family, segment""", [*QUANTILE_COLS, "mean_sale", "WAPE"], ctes=QUANTILES))
 def _(spark, sf):
-    table = reports.quantile_family_report(stand_in_quantiles(spark, sf), segments(spark, sf))
+    panel = panel_table(spark, sf)
+    table = reports.quantile_family_report(stand_in_quantiles(spark, sf, panel), segments(spark, sf, panel))
     return round_all(table.withColumn("MAPE", F.round("MAPE", 0)))
 
 
@@ -394,7 +397,9 @@ def _(spark, sf):
 
 def _performance(spark, sf) -> DataFrame:
     """Family tables of two stand-in models, one with fewer columns than the other."""
-    oof = joins.with_segment(stand_in_predictions(spark, sf), segments(spark, sf), how="inner")
+    panel = panel_table(spark, sf)
+    oof = joins.with_segment(stand_in_predictions(spark, sf, panel), segments(spark, sf, panel), how="inner")
+    oof = materialize(oof, "oof")
     by = ["family", "segment"]
     lag = M.error_sums(oof, by).select("segment", F.lit("lag").alias("model"), M.mae().alias("MAE"),
                                        M.rmse().alias("RMSE"), M.wape("a").alias("WAPE"))

@@ -9,13 +9,13 @@ from panelcast.operators import additive, arx, joins, reports, windows
 from panelcast.operators import series as S
 from panelcast.plans.catalog_base import FILLED, round_all
 from panelcast.plans.oracle import more
-from panelcast.plans.panel import sales_panel, segments
+from panelcast.plans.panel import panel_table, sales_panel, segments
 from panelcast.plans.registry import query
 from panelcast.session import materialize
 
 
-def daily(spark, sf) -> DataFrame:
-    return materialize(S.daily_series(sales_panel(spark, sf)), "daily_series")
+def daily(spark, sf, panel: DataFrame | None = None) -> DataFrame:
+    return materialize(S.daily_series(sales_panel(spark, sf) if panel is None else panel), "daily_series")
 
 
 @query("m12_choose_differences", more(FILLED + """,
@@ -45,8 +45,9 @@ def _(spark, sf):
 
 @query("m12_arx_group_report")
 def _(spark, sf):
-    forecast, orders = arx.seasonal_arx(daily(spark, sf))
-    return reports.arx_report(joins.with_segment(forecast, segments(spark, sf), how="inner"), orders)
+    panel = panel_table(spark, sf, oil=True)
+    forecast, orders = arx.seasonal_arx(daily(spark, sf, panel))
+    return reports.arx_report(joins.with_segment(forecast, segments(spark, sf, panel), how="inner"), orders)
 
 
 @query("m13_additive_forecast")
@@ -56,9 +57,10 @@ def _(spark, sf):
 
 @query("m13_additive_report")
 def _(spark, sf):
-    forecast, _ = additive.additive_forecast(daily(spark, sf))
-    means = sales_panel(spark, sf, oil=False).groupBy("family").agg(F.avg("sales").alias("mean_sales"))
-    return reports.additive_report(joins.with_segment(forecast, segments(spark, sf), how="inner"), means)
+    panel = panel_table(spark, sf, oil=True)
+    forecast, _ = additive.additive_forecast(daily(spark, sf, panel))
+    means = panel.groupBy("family").agg(F.avg("sales").alias("mean_sales"))
+    return reports.additive_report(joins.with_segment(forecast, segments(spark, sf, panel), how="inner"), means)
 
 
 @query("m14_components")

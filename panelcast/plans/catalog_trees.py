@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators import attribution, ranking, reports, trees, windows
+from panelcast.operators import attribution, linear, ranking, reports, trees, windows
 from panelcast.functions import columns as C
 from panelcast.plans.catalog_base import KEY, round_all
 from panelcast.plans.oracle import sql_rounded
@@ -26,28 +26,29 @@ def model_table(spark, sf) -> DataFrame:
     return materialize(panel, "model_table")
 
 
-def core_families(spark, sf) -> list[str]:
+def core_families(spark, sf, table: DataFrame) -> list[str]:
     """The core families: a short configured list in practice, here the High segment."""
-    return [r["family"] for r in segments(spark, sf).where("segment = 'High'").collect()]
+    return [r["family"] for r in segments(spark, sf, table).where("segment = 'High'").collect()]
 
 
 @query("m1_linear_oof")
 def _(spark, sf):
     table = model_table(spark, sf)
-    oof = trees.linear_oof(table, FOLDS, segments(spark, sf))
+    oof = linear.linear_oof(table, FOLDS, segments(spark, sf, table))
     return round_all(oof)
 
 
 @query("m1_linear_family_report")
 def _(spark, sf):
-    seg = segments(spark, sf)
-    oof = trees.linear_oof(model_table(spark, sf), FOLDS, seg).join(seg, "family")
+    table = model_table(spark, sf)
+    seg = segments(spark, sf, table)
+    oof = linear.linear_oof(table, FOLDS, seg).join(seg, "family")
     return round_all(reports.linear_family_report(materialize(oof, "linear_oof")))
 
 
 def _medium(spark, sf):
     table = model_table(spark, sf)
-    return trees.prepare_medium(table, segments(spark, sf), FOLDS[0], YEAR_WEIGHTS)
+    return trees.prepare_medium(table, segments(spark, sf, table), FOLDS[0], YEAR_WEIGHTS)
 
 
 @query("m6_forest_medium")
@@ -58,12 +59,14 @@ def _(spark, sf):
 
 @query("m7_core_forest")
 def _(spark, sf):
-    return trees.core_forest(model_table(spark, sf), core_families(spark, sf), FOLDS[0], trees=10, depth=6)
+    table = model_table(spark, sf)
+    return trees.core_forest(table, core_families(spark, sf, table), FOLDS[0], trees=10, depth=6)
 
 
 @query("m8_hurdle_forest")
 def _(spark, sf):
-    return trees.hurdle_forest(model_table(spark, sf), core_families(spark, sf), FOLDS[0], trees=10, depth=6)
+    table = model_table(spark, sf)
+    return trees.hurdle_forest(table, core_families(spark, sf, table), FOLDS[0], trees=10, depth=6)
 
 
 @query("m8_hurdle_combine", sql_rounded("""
@@ -78,7 +81,7 @@ def _(spark, sf):
 @query("m9_two_tier_forest")
 def _(spark, sf):
     table = model_table(spark, sf)
-    oof = trees.two_tier_forest(table, core_families(spark, sf), FOLDS, trees=5, core_depth=5, rest_depth=5)
+    oof = trees.two_tier_forest(table, core_families(spark, sf, table), FOLDS, trees=5, core_depth=5, rest_depth=5)
     return round_all(reports.forest_complete_report(materialize(oof, "forest_oof")))
 
 

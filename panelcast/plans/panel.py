@@ -84,6 +84,11 @@ def sales_panel(
     return calendar_features(panel)
 
 
+def panel_table(spark: SparkSession, sf_dir: str, transactions: bool = False, oil: bool = False) -> DataFrame:
+    """The panel written once, for queries that read it more than once."""
+    return materialize(sales_panel(spark, sf_dir, transactions, oil), "panel")
+
+
 def segments(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
     """family -> segment by rank of total sales; one row per family."""
     if panel is None:
@@ -111,9 +116,10 @@ def feature_panel(spark: SparkSession, sf_dir: str, transactions: bool = False)
     )
 
 
-def stand_in_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stand_in_predictions(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
     """Out-of-fold rows scored by the value seven rows back and by the 30-row mean."""
-    panel = sales_panel(spark, sf_dir, oil=False)
+    if panel is None:
+        panel = sales_panel(spark, sf_dir, oil=False)
     scored = series_select(panel, [*add_lags([7]), *add_rolling([30], "mean")])
     oof = assign_test_fold(scored, FOLDS).where(
         F.col("sales_lag_7").isNotNull() & F.col("rolling_mean_30").isNotNull()
