@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +78,8 @@ def read_folds(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
         "fold": F.regexp_extract("__path", FOLD_FILE, 2).cast("int"),
         "split": F.regexp_extract("__path", FOLD_FILE, 1),
     })
-    names = {p.split("_fold_")[0].rsplit("/", 1)[-1] + p.split("_fold_")[1].split(".")[0] for p in rows.inputFiles()}
-    paired = [i for i in ids if f"train{i}" in names and f"test{i}" in names]
+    found = {re.search(FOLD_FILE, p).groups() for p in rows.inputFiles()}
+    paired = [i for i in ids if {("train", str(i)), ("test", str(i))} <= found]
     return rows.where(F.col("fold").isin(paired)).drop("__path")
 
 
