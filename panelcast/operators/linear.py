@@ -249,7 +249,7 @@ def linear_oof(df: DataFrame, folds: list[Fold], segments: DataFrame, names: lis
     rows = assign_folds(df, folds)
     train, test = rows.where("split = 'train'"), in_segment(rows.where("split = 'test'"), segments, list(names))
 
-    known = distinct_cells(train, text).limit(MAX_CATEGORIES + 1).collect()
+    known = distinct_cells(train, text).limit(MAX_CATEGORIES + 1).collect() if text else []
     if len(known) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories in {text}: encode them as numbers first")
     flags = [(f"{r['feature']}={r['value']}", r["feature"], r["value"]) for r in sorted(known)]

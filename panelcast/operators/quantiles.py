@@ -47,34 +47,36 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, f
         "quantile_bracket",
     )
 
-    def cell(name: str, c: str, q: float) -> Column:
+    names = list(wanted)
+
+    def cell(at: int, name: str, c: str) -> Column:
         value, lo, hi = F.col(c), F.col(f"__s_{name}.b")[0], F.col(f"__s_{name}.b")[1]
         zone = F.when(value < lo, BELOW).when(value > hi, ABOVE).otherwise(INSIDE)
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.lit(float(q)).alias("q"),
-            zone.alias("zone"),
-            F.when(zone == INSIDE, value).alias("inside"),
-            value.alias("value"),
-            F.col(f"__s_{name}.n").alias("n"),
-        )
+        return F.struct(F.lit(at).alias("at"), zone.alias("zone"),
+                        F.when(zone == INSIDE, value).alias("inside"), value.alias("value"))
 
+    # Ties and everything outside the bracket collapse map side.
     counted = (
         rows.join(sketch, keys)
-        .select(*by, F.explode(F.array(*[cell(name, c, q) for name, (c, q) in wanted.items()])).alias("c"))
+        .select(*by, F.explode(F.array(*[cell(i, n, wanted[n][0]) for i, n in enumerate(names)])).alias("c"))
         .select(*by, "c.*")
         .where("value is not null")
-        .groupBy(*by, "column", "q", "n", "zone", "inside")
+        .groupBy(*by, "at", "zone", "inside")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
     )
 
     # Ranks run over the bracket only: one row for all below, the distinct values inside,
     # one row for all above. The lowest value orders them.
-    position = (F.col("n") - 1) * F.col("q")
-    upto = running_total(materialize(counted, "quantile_values"), [*by, "column"], "lowest", F.col("rows"), "upto", one_sort)
-    ranked = upto.select("*", (F.col("upto") - F.col("rows")).alias("first"), (F.col("upto") - 1).alias("last")).withColumns({
-        "position": position, "lo_rank": F.floor(position), "hi_rank": F.ceil(position),
-    })
+    sizes = sketch.select("__all", *by, F.posexplode(F.array(*[F.col(f"__s_{n}.n") for n in names])).alias("at", "n"))
+    levels = F.array(*[F.lit(float(wanted[n][1])) for n in names])
+    upto = running_total(materialize(counted, "quantile_values"), [*by, "at"], "lowest", F.col("rows"), "upto", one_sort)
+    position = (F.col("n") - 1) * levels[F.col("at")]
+    ranked = (
+        upto.withColumn("__all", F.lit(1))
+        .join(sizes, [*keys, "at"])
+        .select("*", (F.col("upto") - F.col("rows")).alias("first"), (F.col("upto") - 1).alias("last"))
+        .withColumns({"position": position, "lo_rank": F.floor(position), "hi_rank": F.ceil(position)})
+    )
 
     def order_statistic(rank: str) -> Column:
         """Value at a rank; just outside the bracket it is the nearest value there."""
@@ -87,14 +89,14 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, f
         )
         return F.max(F.when(hit, value))
 
-    picked = ranked.groupBy(*by, "column").agg(
+    picked = ranked.groupBy(*by, "at").agg(
         order_statistic("lo_rank").alias("lo"),
         order_statistic("hi_rank").alias("hi"),
         F.max(F.col("position") - F.col("lo_rank")).alias("part"),
     )
     quantile = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
     return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("column") == name, quantile)).alias(name) for name in wanted]
+        *[F.max(F.when(F.col("at") == i, quantile)).alias(name) for i, name in enumerate(names)]
     )
 
 
