@@ -193,6 +193,58 @@ def _(spark, sf):
     return linear.contiguous_folds(panel, ["family"]).select(*KEY, "cv")
 
 
+# Lasso with one feature in closed form: a soft threshold on the covariance, per training set.
+ONE_LASSO = """
+sc AS (SELECT family, avg(onpromotion) AS mx, stddev_pop(onpromotion) AS sx FROM panel GROUP BY family),
+ord AS (SELECT p.family, p.sales AS y, (p.onpromotion - sc.mx) / sc.sx AS z,
+               row_number() OVER (PARTITION BY p.family ORDER BY date, store_nbr) - 1 AS r,
+               count(*) OVER (PARTITION BY p.family) AS n FROM panel p JOIN sc ON p.family = sc.family),
+cv AS (SELECT *, CASE WHEN r < (n % 5) * (n // 5 + 1) THEN r // (n // 5 + 1)
+                      ELSE n % 5 + (r - (n % 5) * (n // 5 + 1)) // (n // 5) END AS f FROM ord),
+al AS (SELECT unnest([1.0, 0.1, 0.01, 0.001]) AS alpha),
+tr AS (SELECT cv.family, g.f, avg(z) AS mz, avg(y) AS my, covar_pop(z, y) AS c, var_pop(z) AS v
+       FROM cv JOIN (SELECT DISTINCT f FROM cv) g ON cv.f <> g.f GROUP BY cv.family, g.f),
+wt AS (SELECT tr.*, alpha, sign(c) * greatest(abs(c) - alpha, 0) / v AS w FROM tr CROSS JOIN al),
+er AS (SELECT family, alpha, avg(mse) AS mse FROM (
+         SELECT cv.family, alpha, cv.f, avg((y - my - w * (z - mz)) ** 2) AS mse
+         FROM cv JOIN wt ON cv.family = wt.family AND cv.f = wt.f GROUP BY cv.family, alpha, cv.f) GROUP BY family, alpha),
+best AS (SELECT family, alpha FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY mse, alpha DESC) AS k FROM er) WHERE k = 1)"""
+
+
+@query("m5_lasso_one_feature", sql_rounded("""
+SELECT b.family, 'onpromotion' AS feature, b.alpha::DOUBLE AS alpha,
+       sign(c) * greatest(abs(c) - b.alpha, 0) AS coef_scaled, sign(c) * greatest(abs(c) - b.alpha, 0) / sc.sx AS coef
+FROM best b JOIN sc ON b.family = sc.family
+JOIN (SELECT family, covar_pop(z, y) AS c FROM cv GROUP BY family) a ON a.family = b.family
+WHERE abs(c) - b.alpha > 0""", ["coef_scaled", "coef"], ctes=ONE_LASSO))
+def _(spark, sf):
+    kept = linear.grouped_lasso(panel_table(spark, sf), ["family"], ["onpromotion"], impute=[])
+    return round_all(kept.select("family", "feature", "alpha", "coef_scaled", "coef"))
+
+
+@query("m1_linear_oof_one_feature", sql_rounded("""
+SELECT p.date, p.store_nbr, p.family, m.fold, p.sales AS y_true, m.b0 + m.b1 * p.onpromotion AS y_pred
+FROM panel p JOIN (SELECT f.fold, f.test_start, f.test_end, regr_intercept(sales, onpromotion) AS b0, regr_slope(sales, onpromotion) AS b1
+                   FROM panel JOIN folds f ON date BETWEEN f.train_start AND f.train_end GROUP BY ALL) m
+ON p.date BETWEEN m.test_start AND m.test_end
+WHERE p.family IN (SELECT family FROM seg WHERE segment IN ('High', 'Medium'))""", ["y_pred"]))
+def _(spark, sf):
+    panel = panel_table(spark, sf)
+    return round_all(linear.linear_oof(panel.select(*KEY, "sales", "onpromotion"), FOLDS, segments(spark, sf, panel)))
+
+
+@query("m1_linear_oof_text_feature", sql_rounded("""
+SELECT p.date, p.store_nbr, p.family, m.fold, p.sales AS y_true, m.mean AS y_pred
+FROM panel p JOIN (SELECT f.fold, f.test_start, f.test_end, type, avg(sales) AS mean
+                   FROM panel JOIN folds f ON date BETWEEN f.train_start AND f.train_end GROUP BY ALL) m
+ON p.date BETWEEN m.test_start AND m.test_end AND p.type = m.type
+WHERE p.family IN (SELECT family FROM seg WHERE segment IN ('High', 'Medium'))""", ["y_pred"]))
+def _(spark, sf):
+    # With one text feature the least-squares prediction is the mean of its training rows.
+    panel = panel_table(spark, sf)
+    return round_all(linear.linear_oof(panel.select(*KEY, "sales", "type"), FOLDS, segments(spark, sf, panel)))
+
+
 # Stand-in for kept features: a coefficient is kept where its one-feature slope is above 0.05.
 SLOPES = """
 kept AS (SELECT family, feature FROM (
@@ -259,6 +311,31 @@ def _(spark, sf):
     return round_all(scored.select(*KEY, "q05", "q50", "q95"))
 
 
+FITTED = """
+fr AS (SELECT f.*, folds.fold, date <= folds.train_end AS is_train FROM feat f JOIN folds
+       ON f.date BETWEEN folds.train_start AND folds.train_end OR f.date BETWEEN folds.test_start AND folds.test_end
+       WHERE rolling_mean_30 IS NOT NULL),
+md AS (SELECT fold, family, regr_intercept(sales, rolling_mean_30) AS b0, regr_slope(sales, rolling_mean_30) AS b1
+       FROM fr WHERE is_train GROUP BY fold, family),
+sc AS (SELECT fr.*, b0 + b1 * rolling_mean_30 AS p FROM fr JOIN md ON fr.fold = md.fold AND fr.family = md.family),
+off AS (SELECT fold, family, quantile_cont(sales - p, 0.05) AS o1, quantile_cont(sales - p, 0.5) AS o2,
+               quantile_cont(sales - p, 0.95) AS o3 FROM sc WHERE is_train GROUP BY fold, family)"""
+
+
+@query("m15_quantile_forecast_one_feature", sql_rounded("""
+SELECT sc.fold, date, store_nbr, sc.family, sales, greatest(p + o1, 0) AS q05, greatest(p + o1, p + o2, 0) AS q50,
+       greatest(p + o1, p + o2, p + o3, 0) AS q95
+FROM sc JOIN off ON sc.fold = off.fold AND sc.family = off.family WHERE NOT is_train""", ["q05", "q50", "q95"], ctes=FITTED))
+def _(spark, sf):
+    panel = sales_panel(spark, sf, oil=False)
+    table = materialize(windows.series_select(panel, windows.add_rolling([30], "mean")).na.drop(
+        subset=["rolling_mean_30"]).select(*KEY, "sales", "rolling_mean_30"), "features")
+    split = folds.assign_folds(table, FOLDS)
+    scored = linear.quantile_forecast(split.where("split = 'train'"), split.where("split = 'test'"),
+                                      ["fold", "family"], ["rolling_mean_30"])
+    return round_all(scored.select("fold", *KEY, "sales", "q05", "q50", "q95"))
+
+
 SEQUENCE_FEATURES = ["onpromotion", "sales_lag_7", "sales_lag_14", "sales_lag_30", "rolling_mean_7",
                      "rolling_mean_30", "rolling_std_7", "rolling_std_30"]
 
