@@ -14,6 +14,7 @@ from panelcast.plans.panel import (
     FOLDS,
     YEAR_WEIGHTS,
     feature_panel,
+    on_grid,
     panel_table,
     sales_panel,
     segments,
@@ -314,7 +315,8 @@ def _(spark, sf):
     scored = windows.series_select(sales_panel(spark, sf, oil=False),
                                    [*windows.add_lags([7]), *windows.add_rolling([30], "mean")])
     scored = folds.assign_test_fold(scored, FOLDS).na.drop(subset=["sales_lag_7", "rolling_mean_30"])
-    return round_all(A.daily_actual_vs_pred(scored, ["family"], "sales", "rolling_mean_30", "onpromotion"))
+    scored = scored.withColumn("y_pred_mean", on_grid("rolling_mean_30"))
+    return round_all(A.daily_actual_vs_pred(scored, ["family"], "sales", "y_pred_mean", "onpromotion"))
 
 
 @query("a3_scenario_daily", sql("""

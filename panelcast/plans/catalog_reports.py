@@ -105,14 +105,14 @@ def _(spark, sf):
     return round_all(banded.select("family", "fold", M.coverage().alias("coverage_95"), M.avg_width().alias("avg_width")))
 
 
-# Stand-in quantiles: the 30-row mean, and a fifth and the double of it.
+# Stand-in quantiles: the 30-row mean, and a quarter and the double of it.
 QUANTILES = """
-q AS (SELECT *, y_pred_mean * 0.2 AS q05, y_pred_mean AS q50, y_pred_mean * 2.0 AS q95 FROM oof)"""
+q AS (SELECT *, y_pred_mean * 0.25 AS q05, y_pred_mean AS q50, y_pred_mean * 2.0 AS q95 FROM oof)"""
 
 
 def stand_in_quantiles(spark, sf, panel: DataFrame | None = None) -> DataFrame:
     mean = F.col("y_pred_mean")
-    return stand_in_predictions(spark, sf, panel).withColumns({"q05": mean * 0.2, "q50": mean, "q95": mean * 2.0})
+    return stand_in_predictions(spark, sf, panel).withColumns({"q05": mean * 0.25, "q50": mean, "q95": mean * 2.0})
 
 
 COVERED = "100 * avg(CASE WHEN y_true >= {lo} AND y_true <= {hi} THEN 1.0 ELSE 0.0 END) AS coverage_95, avg({hi} - {lo}) AS avg_width"

@@ -62,7 +62,7 @@ folds(fold, train_start, train_end, test_start, test_end) AS (
          (5, DATE '1997-01-01', DATE '2000-12-31', DATE '2001-01-01', DATE '2001-03-31')),
 oof AS (
   SELECT f.date, f.store_nbr, f.family, folds.fold, seg.segment, f.sales AS y_true,
-         f.sales_lag_7 AS y_pred, f.rolling_mean_30 AS y_pred_mean
+         f.sales_lag_7 AS y_pred, floor(f.rolling_mean_30 * 8) / 8 AS y_pred_mean
   FROM feat f
   JOIN folds ON f.date BETWEEN folds.test_start AND folds.test_end
   LEFT JOIN seg ON f.family = seg.family
