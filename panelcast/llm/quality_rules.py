@@ -202,17 +202,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: flo
         (~F.col("base_failed") & (p >= keep)).alias("kept"), p.alias("good_probability"))
 
 
-def keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns.
-
-    The verdict depends on the text alone, so it is joined by id and text hash: null and
-    repeated ids do no harm, and a group of copies is spread over its ids.
-    """
-    key = F.xxhash64(f"`{text}`")
-    verdicts = (judge(docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), key.alias("hash")).alias("key"),
-                                  F.col(f"`{text}`").alias("text")), "key", "text")
-                .where("kept").select("doc_id").distinct())
-    mine = F.struct(F.col(f"d.`{doc_id}`").alias("id"), F.xxhash64(f"d.`{text}`").alias("hash"))
-    verdicts = verdicts.select(F.col("doc_id.id").alias("id"), F.col("doc_id.hash").alias("hash")).alias("v")
-    return docs.alias("d").join(
-        verdicts, F.col("v.id").eqNullSafe(mine["id"]) & (F.col("v.hash") == mine["hash"]), "left_semi")
+def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    return judge(rows, "row").where("kept").select("doc_id.*")

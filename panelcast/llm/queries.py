@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelcast.llm import packing, quality_rules, simhash, token_counts
+from panelcast.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_counts
 from panelcast.llm.tables import read_table
 
 QUERIES = {}
@@ -27,6 +27,16 @@ def _(spark, sf_dir):
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+@query("op6_line_dedup", line_dedup.ORACLE)
+def _(spark, sf_dir):
+    return line_dedup.clean(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_benchmark_decontamination")
+def _(spark, sf_dir):
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_simhash_near_dedup")
 def _(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))

@@ -157,8 +157,12 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     classes = near_duplicates(docs.select(F.struct(
         F.col(f"`{doc_id}`").isNull().alias("no_id"), F.col(f"`{doc_id}`").alias("id"),
         F.xxhash64(f"`{text}`").alias("hash")).alias("key"), F.col(f"`{text}`").alias("text")), "key", "text")
-    first = classes.where("doc_id = component_id").select("doc_id.*").distinct().alias("f")
-    kept = docs.alias("d").join(
-        first, F.col("f.id").eqNullSafe(F.col(f"d.`{doc_id}`")) & (F.col("f.hash") == F.xxhash64(f"d.`{text}`")),
-        "left_semi")
-    return kept.dropDuplicates([doc_id, text])
+    first = Written(classes.where("doc_id = component_id").groupBy("doc_id.id", "doc_id.hash")
+                    .agg(F.count(F.lit(1)).alias("n")), "first_of_class").df
+
+    def rows_of(part: DataFrame) -> DataFrame:
+        d, f = docs.alias("d"), part.alias("f")
+        same = F.col("f.id").eqNullSafe(F.col(f"d.`{doc_id}`")) & (F.col("f.hash") == F.xxhash64(f"d.`{text}`"))
+        return d.join(f, same, "left_semi")
+
+    return rows_of(first.where("n = 1")).unionByName(rows_of(first.where("n > 1")).dropDuplicates([doc_id, text]))
