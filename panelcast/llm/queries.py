@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_counts
+from panelcast.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_counts, toxicity
 from panelcast.llm.tables import read_table
 
 QUERIES = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def _(spark, sf_dir):
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op2_quality_rules")
 def _(spark, sf_dir):
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
