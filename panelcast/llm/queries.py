@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_counts, toxicity
+from panelcast.llm import decontaminate, html_extract, line_dedup, packing, quality_rules, simhash, token_counts, toxicity
 from panelcast.llm.tables import read_table
 
 QUERIES = {}
@@ -32,6 +32,13 @@ def _(spark, sf_dir):
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+@query("op4_html_extraction")
+def _(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    texts = html_extract.extract(pages, html_extract.fit(pages))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op6_line_dedup", line_dedup.ORACLE)
 def _(spark, sf_dir):
     return line_dedup.clean(read_table(spark, sf_dir, "documents"))
