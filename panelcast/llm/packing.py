@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.tables import Written
-from panelcast.llm.tokens import WORD_PIECES, PieceCache, special_strings, vocabulary
+from panelcast.llm.tokens import WORD_PIECES, special_strings, vocabulary, worker_cache
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, doc_
     def encode(batches):
         tokenizer = vocabulary(vocabulary_path)
         special = special_strings(tokenizer)
-        cache = PieceCache(tokenizer, packed)
+        cache = worker_cache("ids", vocabulary_path, packed)
 
         def ids_of(texts):
             words = [WORD_PIECES.findall(t) for t in texts]

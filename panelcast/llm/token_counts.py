@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.tokens import BYTE_PIECES, LONGEST_CACHED, PieceCache, special_strings, vocabulary
+from panelcast.llm.tokens import BYTE_PIECES, LONGEST_CACHED, special_strings, vocabulary, worker_cache
 
 # Pieces in the broadcast table: at most 32,768 of at most 64 characters.
 TABLE_SIZE = 32_768
@@ -58,7 +58,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id",
     def count(batches):
         tokenizer = vocabulary(vocabulary_path)
         special = special_strings(tokenizer)
-        cache = PieceCache(tokenizer, len, table.value)
+        cache = worker_cache("counts", vocabulary_path, len, table.value)
 
         def counts(texts):
             """Token counts of texts without special strings."""

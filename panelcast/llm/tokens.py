@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -26,16 +28,33 @@ LONGEST_CACHED = 64
 # Pieces a worker remembers before it starts afresh: some 150 MB.
 CACHE_SIZE = 1_000_000
 
-_LOADED: dict[str, object] = {}
+
+def process_state() -> dict:
+    """What a worker process keeps from task to task."""
+    name = "panelcast_process_state"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
 def vocabulary(path: str):
     """The tokenizer of a file, loaded once per process."""
-    if path not in _LOADED:
+    state = process_state()
+    if path not in state:
         from tokenizers import Tokenizer
 
-        _LOADED[path] = Tokenizer.from_file(path)
-    return _LOADED[path]
+        state[path] = Tokenizer.from_file(path)
+    return state[path]
+
+
+def worker_cache(use: str, path: str, value: Callable, frequent: dict | None = None) -> PieceCache:
+    """The worker's cache for one use of a vocabulary; later tasks find it filled."""
+    state, key = process_state(), f"{use} {path}"
+    if key not in state:
+        state[key] = PieceCache(vocabulary(path), value)
+    cache = state[key]
+    if frequent:
+        cache.frequent = frequent
+        cache.update(frequent)
+    return cache
 
 
 def special_strings(tokenizer) -> list[str]:
@@ -45,19 +64,20 @@ def special_strings(tokenizer) -> list[str]:
 class PieceCache(dict):
     """Piece -> value of its encoding; what is missing is encoded by the library in batches."""
 
-    def __init__(self, tokenizer, value: Callable, frequent: dict | None = None, size: int = CACHE_SIZE):
-        super().__init__(frequent or {})
-        self.tokenizer, self.value, self.frequent, self.size = tokenizer, value, frequent or {}, size
+    def __init__(self, tokenizer, value: Callable, size: int = CACHE_SIZE):
+        super().__init__()
+        self.tokenizer, self.value, self.frequent, self.size = tokenizer, value, {}, size
 
     def learn(self, pieces: Iterable[str]) -> dict | None:
         """Make every piece known; values too long to remember are returned apart."""
-        missing = [p for p in set(pieces) if p not in self]
+        wanted = set(pieces)
+        missing = [p for p in wanted if p not in self]
         if not missing:
             return None
         if len(self) + len(missing) > self.size + len(self.frequent):
             self.clear()
             self.update(self.frequent)
-            missing = [p for p in set(pieces) if p not in self]
+            missing = [p for p in wanted if p not in self]
         short = [p for p in missing if len(p) <= LONGEST_CACHED]
         for start in range(0, len(short), 4096):
             part = short[start:start + 4096]
