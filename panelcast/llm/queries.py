@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, html_extract, line_dedup, packing, quality_rules, simhash, token_counts, toxicity
+from panelcast.llm import (
+    backoff,
+    decontaminate,
+    html_extract,
+    kneser_ney,
+    line_dedup,
+    packing,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from panelcast.llm.tables import read_table
 
 QUERIES = {}
@@ -32,6 +43,11 @@ def _(spark, sf_dir):
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_quality_classifier")
+def _(spark, sf_dir):
+    return kneser_ney.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op4_html_extraction")
 def _(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
@@ -39,6 +55,13 @@ def _(spark, sf_dir):
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@query("op5_lm_scoring", backoff.ORACLE)
+def _(spark, sf_dir):
+    scored = backoff.score(read_table(spark, sf_dir, "documents"))
+    # Sums of logarithms in another order differ in their last digits.
+    return scored.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 @query("op6_line_dedup", line_dedup.ORACLE)
 def _(spark, sf_dir):
     return line_dedup.clean(read_table(spark, sf_dir, "documents"))
