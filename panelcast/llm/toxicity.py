@@ -124,7 +124,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
     place = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     chosen = known.where(place < (min(1.0, train_rows / total) if total else 1.0))
     # The choice is bounded by its own parameter, so it may be sent to all tasks.
-    return Written(docs.join(F.broadcast(chosen), "doc_id").select(
+    return Written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
         F.coalesce("text", F.lit("")).alias("text"), "toxic",
         F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(FOLDS)).cast("int").alias("part")), "toxic_train")
 
