@@ -45,9 +45,9 @@ def _(spark, sf):
 
 FOLD_COUNTS = """
 SELECT f.fold, 'train' AS split, count(*) AS n, sum(p.sales) AS sales FROM folds f
-JOIN panel p ON p.date BETWEEN f.train_start AND f.train_end WHERE f.fold IN (1, 2) GROUP BY f.fold
+JOIN panel p ON p.date BETWEEN f.train_start AND f.train_end GROUP BY f.fold
 UNION ALL SELECT f.fold, 'test', count(*), sum(p.sales) FROM folds f
-JOIN panel p ON p.date BETWEEN f.test_start AND f.test_end WHERE f.fold IN (1, 2) GROUP BY f.fold"""
+JOIN panel p ON p.date BETWEEN f.test_start AND f.test_end GROUP BY f.fold"""
 
 
 def split_folds(spark, sf) -> DataFrame:
@@ -58,15 +58,27 @@ def fold_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("fold", "split").agg(F.count(F.lit(1)).alias("n"), F.sum("sales").alias("sales"))
 
 
-@query("s3_read_folds", sql(FOLD_COUNTS))
+FOLD_SUMS = """
+SELECT f.fold, 'train' AS split, count(*) AS n, sum(p.sales) AS sales, CASE WHEN f.fold < 5 THEN sum(p.onpromotion) END AS promo
+FROM folds f JOIN panel p ON p.date BETWEEN f.train_start AND f.train_end GROUP BY f.fold
+UNION ALL SELECT f.fold, 'test', count(*), sum(p.sales), CASE WHEN f.fold < 5 THEN sum(p.onpromotion) END
+FROM folds f JOIN panel p ON p.date BETWEEN f.test_start AND f.test_end GROUP BY f.fold"""
+
+
+@query("s3_read_folds", sql(FOLD_SUMS))
 def _(spark, sf):
     folder = new_path(spark, "fold_files")
     rows = materialize(split_folds(spark, sf), "folds")
+    # Files differ in the order of their columns, and the fifth pair lacks one.
     writers.write_fold_files(rows, folder, [1, 2])
-    # The third fold has a training file only, so it is left out.
+    writers.write_fold_files(rows.select(*reversed(rows.columns)), folder, [3, 4])
+    writers.write_fold_files(rows.drop("onpromotion"), folder, [5])
+    # The sixth fold has a training file only, so it is left out.
     rows.where("fold = 3 and split = 'train'").drop("fold", "split").write.option("header", True).csv(
-        f"{folder}/train_fold_3.csv")
-    return fold_counts(readers.read_folds(spark, folder, [1, 2, 3, 4]))
+        f"{folder}/train_fold_6.csv")
+    found = readers.read_folds(spark, folder, [1, 2, 3, 4, 5, 6, 7])
+    return found.groupBy("fold", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("sales").alias("sales"), F.sum("onpromotion").alias("promo"))
 
 
 PERF_FILES = f"""
@@ -148,10 +160,19 @@ def _(spark, sf):
     return spark.read.option("header", True).schema("family string, mean_sale string").csv(path)
 
 
+@query("s11_write_report_null_metric", sql("""
+SELECT family || ',' || coalesce(printf('%.4f', avg(CASE WHEN onpromotion > 2 THEN sales END)), '') AS line FROM panel GROUP BY family
+UNION ALL SELECT 'family,promo_sale'"""))
+def _(spark, sf):
+    promoted = F.avg(F.when(F.col("onpromotion") > 2, F.col("sales")))
+    means = sales_panel(spark, sf, oil=False).groupBy("family").agg(promoted.alias("promo_sale"))
+    return spark.read.text(writers.write_report(means, new_path(spark, "report_csv"), 4)).withColumnRenamed("value", "line")
+
+
 @query("s12_write_folds", sql(FOLD_COUNTS))
 def _(spark, sf):
     path = writers.write_folds(split_folds(spark, sf), new_path(spark, "fold_table"))
-    return fold_counts(readers.read_fold_table(spark, path).where("fold in (1, 2)"))
+    return fold_counts(readers.read_fold_table(spark, path))
 
 
 @query("s13_save_load_state", sql("""

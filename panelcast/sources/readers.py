@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +23,36 @@ PANEL_TYPES = {
 REQUIRED = ["date", "store_nbr", "family", "sales"]
 
 
-def _csv(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
-    """Known columns get their type without a pass over the data; others are inferred."""
+def _csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Files of one layout: known columns get their type, others are read as text, without a pass
+    over the data. A file whose header differs from the first one's raises."""
     reader = spark.read.option("header", True).option("sep", sep)
     names = reader.csv(path).columns
-    if all(c in PANEL_TYPES for c in names):
-        schema = ", ".join(f"`{c}` {PANEL_TYPES[c]}" for c in names)
-        return reader.schema(schema).csv(path)
-    typed = reader.option("inferSchema", True).csv(path)
-    return typed.withColumns({c: F.col(c).cast(PANEL_TYPES[c]) for c in names if c in PANEL_TYPES})
+    schema = ", ".join(f"`{c}` {PANEL_TYPES.get(c, 'string')}" for c in names)
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
+    """All parts in one frame, columns matched by name; a column that a part lacks is null."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_panel(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
                fmt: str = "csv") -> DataFrame:
-    """Panel from CSV (header, ISO dates) or Parquet; NaN becomes null."""
+    """Panel from CSV (header, ISO dates) or Parquet; NaN becomes null.
+
+    Paths may differ in the order and set of their columns; the files of a path may not.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "parquet":
-        df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+        df = _by_name([spark.read.parquet(p) for p in paths])
     elif schema is not None:
-        df = spark.read.option("header", True).schema(schema).csv(path)
+        df = spark.read.options(header=True, enforceSchema=False).schema(schema).csv(paths)
     else:
-        df = _csv(spark, path)
+        df = _by_name([_csv(spark, p) for p in paths])
     require_columns(df, REQUIRED)
     return nan_to_null(df)
 
@@ -67,20 +75,23 @@ def read_segments(spark: SparkSession, path: str, sep: str | None = None) -> Dat
     return tidy.select("family", segment.alias("segment"))
 
 
-FOLD_FILE = r"(train|test)_fold_(\d+)\.csv"
-
-
 def read_folds(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
-    """All fold pairs in one read, tagged with fold and split; a fold without both files is left out."""
-    wanted = ",".join(str(i) for i in ids)
-    path = f"{folder}/{{train,test}}_fold_{{{wanted}}}.csv"
-    rows = _csv(spark, path).select("*", F.col("_metadata.file_path").alias("__path")).withColumns({
-        "fold": F.regexp_extract("__path", FOLD_FILE, 2).cast("int"),
-        "split": F.regexp_extract("__path", FOLD_FILE, 1),
-    })
-    found = {re.search(FOLD_FILE, p).groups() for p in rows.inputFiles()}
-    paired = [i for i in ids if {("train", str(i)), ("test", str(i))} <= found]
-    return rows.where(F.col("fold").isin(paired)).drop("__path")
+    """All fold pairs, tagged with fold and split; a fold without both files is left out.
+
+    Columns are matched by name, so files may differ in their order and set.
+    """
+    parts = []
+    for i in ids:
+        try:
+            pair = [(split, _csv(spark, f"{folder}/{split}_fold_{i}.csv")) for split in ("train", "test")]
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            continue
+        parts += [df.withColumns({"fold": F.lit(i), "split": F.lit(split)}) for split, df in pair]
+    if not parts:
+        raise FileNotFoundError(f"no fold pair of {ids} in {folder}")
+    return _by_name(parts)
 
 
 def read_fold_table(spark: SparkSession, path: str) -> DataFrame:

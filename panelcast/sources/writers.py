@@ -11,10 +11,11 @@ from panelcast.functions.columns import safe_name
 
 
 def formatted(df: DataFrame, digits: int = 4, fixed: bool = True) -> DataFrame:
-    """Doubles as text with fixed digits, or rounded and left as numbers."""
+    """Doubles as text with fixed digits, or rounded and left as numbers; nulls stay null."""
     doubles = [c for c, t in df.dtypes if t == "double"]
     if fixed:
-        return df.withColumns({c: F.format_string(f"%.{digits}f", F.col(f"`{c}`")) for c in doubles})
+        return df.withColumns({
+            c: F.when(F.col(f"`{c}`").isNotNull(), F.format_string(f"%.{digits}f", F.col(f"`{c}`"))) for c in doubles})
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 

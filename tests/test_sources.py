@@ -26,7 +26,7 @@ def test_segments_with_either_separator(spark, tmp_path):
 def test_panel_types_and_missing_columns(spark, tmp_path):
     path = write(tmp_path / "p.csv", "date,store_nbr,family,sales,extra,dcoilwtico\n2000-01-01,1,A,2.5,7,NaN\n")
     df = readers.read_panel(spark, path)
-    assert dict(df.dtypes)["date"] == "date" and dict(df.dtypes)["extra"] == "int"
+    assert dict(df.dtypes)["date"] == "date" and dict(df.dtypes)["extra"] == "string"
     assert df.first()["dcoilwtico"] is None
     with pytest.raises(ValueError, match="sales"):
         readers.read_panel(spark, write(tmp_path / "q.csv", "date,store_nbr,family\n2000-01-01,1,A\n"))
@@ -43,6 +43,19 @@ def test_fold_pairs(spark, tmp_path):
         (1, "test", 1.0), (1, "train", 1.0), (2, "test", 2.0), (2, "train", 2.0)]
 
 
+def test_columns_are_matched_by_name(spark, tmp_path):
+    write(tmp_path / "train_fold_1.csv", "date,store_nbr,family,sales,onpromotion\n2000-01-01,1,A,5.0,7\n")
+    write(tmp_path / "test_fold_1.csv", "onpromotion,sales,date,store_nbr,family,cluster\n3,2.0,2000-01-02,1,A,4\n")
+    want = [("test", 2.0, 3, 4), ("train", 5.0, 7, None)]
+    columns = ["split", "sales", "onpromotion", "cluster"]
+    got = readers.read_folds(spark, str(tmp_path), [1]).select(*columns)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    paths = [str(tmp_path / f"{s}_fold_1.csv") for s in ("train", "test")]
+    assert sorted(r["sales"] for r in readers.read_panel(spark, paths).where("onpromotion in (3, 7)").collect()) == [2.0, 5.0]
+    with pytest.raises(Exception, match="header"):
+        readers.read_panel(spark, str(tmp_path)).collect()
+
+
 def test_tagged_files(spark, tmp_path):
     a = write(tmp_path / "a.csv", "family,MAE\nA,1\n")
     got = readers.read_tagged(spark, {a: "x", str(tmp_path / "none.csv"): "y"})
@@ -93,6 +106,13 @@ def test_report_formats(spark, tmp_path):
     assert spark.read.option("header", True).csv(path).first() == ("A", "1.2346", "(1, 0, 2)")
 
 
+def test_null_cells_are_empty(spark, tmp_path):
+    df = spark.createDataFrame([("A", 1.0), ("B", None)], "family string, MAE double")
+    path = writers.write_report(df, str(tmp_path / "r"))
+    lines = {r[0] for r in spark.read.text(path).collect()}
+    assert lines == {"family,MAE", "A,1.0000", "B,"}
+
+
 def test_folds_prune_partitions(spark, tmp_path):
     df = spark.createDataFrame([(1, "train", 1.0), (2, "test", 2.0)], "fold int, split string, x double")
     table = readers.read_fold_table(spark, writers.write_folds(df, str(tmp_path / "f")))
