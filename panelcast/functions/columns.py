@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,15 @@ def safe_name(c: Column | str) -> Column:
 
 def uplift_pct(absolute: Column, mean_sale: Column, eps: float = 1e-9) -> Column:
     return F.try_divide(F.lit(100.0) * absolute, mean_sale + F.lit(eps))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys where null equals null; the keys and other columns of both sides once."""
+    named = right.select(*[F.col(f"`{c}`").alias(f"__right_{c}" if c in keys else c) for c in right.columns])
+    if not keys:
+        return left.join(named, how=how)
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__right_{k}`")) for k in keys]
+    condition = same[0]
+    for one in same[1:]:
+        condition = condition & one
+    return left.join(named, condition, how).drop(*[f"__right_{k}" for k in keys])

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.functions.columns import join_null_safe
+
 # float64 machine epsilon, the positive floor of a ratio, the normal
 # quantile of a 95 % band, the tolerance of the accuracy rate.
 MACHINE_EPS = 2.220446049250313e-16
@@ -26,11 +28,15 @@ def _ratio(mask: Column | None, numerator: Column, denominator: Column) -> Colum
 
 def error_sums(df: DataFrame, by: list[str], y: str = "y_true", yhat: str = "y_pred",
                lower: str | None = None, upper: str | None = None) -> DataFrame:
-    """Sums per group from which every metric follows; unused ones are pruned."""
-    t, p = F.col(y), F.col(yhat)
+    """Sums per group from which every metric follows; unused ones are pruned.
+
+    Rows without an actual or predicted value count nowhere.
+    """
+    complete = F.col(y).isNotNull() & F.col(yhat).isNotNull()
+    t, p = F.when(complete, F.col(y)), F.when(complete, F.col(yhat))
     err = F.abs(t - p)
     aggregates = [
-        F.count(F.lit(1)).alias("n"),
+        F.count(err).alias("n"),
         F.sum(err).alias("abs_err"),
         F.sum((t - p) * (t - p)).alias("sq_err"),
         F.sum(t).alias("sum_y"),
@@ -183,12 +189,12 @@ def normal_band(df: DataFrame, sums: DataFrame, by: list[str], spread: Column,
     t, p = F.col(y), F.col(yhat)
     inside = (t >= p - F.col("__half")) & (t <= p + F.col("__half"))
     covered = (
-        df.join(half, by)
+        join_null_safe(df, half, by)
         .groupBy(*by)
         .agg(F.count_if(inside).alias("covered"),
              F.sum((p + F.col("__half")) - (p - F.col("__half"))).alias("width"))
     )
-    return sums.join(covered, by)
+    return join_null_safe(sums, covered, by)
 
 
 def pinball(y: str, yhat: str, tau: float) -> Column:

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.columns import clip_upper
-from panelcast.operators.ranking import ONE_SORT, running_total
+from panelcast.functions.columns import clip_upper, join_null_safe
+from panelcast.operators.ranking import RANGE_ROWS, running_total
 from panelcast.session import materialize
 
 BELOW, INSIDE, ABOVE = 0, 1, 2
@@ -25,7 +25,7 @@ def exact_quantile(df: DataFrame, by: list[str], columns: list[str], q: float,
 
 
 def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float]],
-                    accuracy: int = 10_000, one_sort: int = ONE_SORT) -> DataFrame:
+                    accuracy: int = 10_000, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``wanted`` maps an output name to (column, quantile).
 
     Two passes over ``df``, so hand in a materialized table. Nulls are skipped; a
@@ -57,7 +57,7 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, f
 
     # Ties and everything outside the bracket collapse map side.
     counted = (
-        rows.join(sketch, keys)
+        join_null_safe(rows, sketch, keys)
         .select(*by, F.explode(F.array(*[cell(i, n, wanted[n][0]) for i, n in enumerate(names)])).alias("c"))
         .select(*by, "c.*")
         .where("value is not null")
@@ -69,11 +69,10 @@ def exact_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, f
     # one row for all above. The lowest value orders them.
     sizes = sketch.select("__all", *by, F.posexplode(F.array(*[F.col(f"__s_{n}.n") for n in names])).alias("at", "n"))
     levels = F.array(*[F.lit(float(wanted[n][1])) for n in names])
-    upto = running_total(materialize(counted, "quantile_values"), [*by, "at"], "lowest", F.col("rows"), "upto", one_sort)
+    upto = running_total(materialize(counted, "quantile_values"), [*by, "at"], "lowest", F.col("rows"), "upto", range_rows)
     position = (F.col("n") - 1) * levels[F.col("at")]
     ranked = (
-        upto.withColumn("__all", F.lit(1))
-        .join(sizes, [*keys, "at"])
+        join_null_safe(upto.withColumn("__all", F.lit(1)), sizes, [*keys, "at"])
         .select("*", (F.col("upto") - F.col("rows")).alias("first"), (F.col("upto") - 1).alias("last"))
         .withColumns({"position": position, "lo_rank": F.floor(position), "hi_rank": F.ceil(position)})
     )

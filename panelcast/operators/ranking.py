@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.functions.columns import join_null_safe
 from panelcast.session import materialize
 
 
@@ -41,23 +42,25 @@ def sample_n(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFram
     return near.orderBy(place, *keys).limit(n)
 
 
-# Rows a single sort may take; larger groups are cut into ranges first.
-ONE_SORT = 2_000_000
+# Rows a single sort takes; a group is cut into as many ranges as that asks for.
+RANGE_ROWS = 2_000_000
 
 
 def running_total(df: DataFrame, by: list[str], value: str, weight: Column, name: str,
-                  one_sort: int = ONE_SORT, ranges: int = 256) -> DataFrame:
+                  range_rows: int = RANGE_ROWS) -> DataFrame:
     """Sum of ``weight`` over the group's rows up to and including this one, by ``value``.
 
-    ``df`` must be materialized and hold each value once per group. A group too long for
-    one sort is cut at values chosen by hash; each range is summed by itself and starts
-    where the ranges below it end.
+    ``df`` must be materialized and hold each value once per group. Groups are cut at values
+    chosen by hash into ranges of about ``range_rows`` rows; each range is summed by itself and
+    starts where the ranges below it end.
     """
     keys = [*by, "__all"]
     rows = df.withColumns({"__all": F.lit(1), "__w": weight})
     largest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    # The ranges differ in length: cut four times as often as equal ones would need.
+    ranges = -(-largest // range_rows) * 4 if largest > range_rows else 1
     upto = Window.unboundedPreceding
-    if largest <= one_sort:
+    if ranges == 1:  # one range is the group itself
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(upto, 0)
         return rows.withColumn(name, F.sum("__w").over(w)).drop("__w", "__all")
 
@@ -70,7 +73,7 @@ def running_total(df: DataFrame, by: list[str], value: str, weight: Column, name
     )
     below = F.size(F.filter("__cuts", lambda c: c <= F.col(value)))
     ranged = materialize(
-        rows.join(materialize(cuts, "cuts"), keys).withColumn("__range", below).drop("__cuts"), "ranges"
+        join_null_safe(rows, materialize(cuts, "cuts"), keys).withColumn("__range", below).drop("__cuts"), "ranges"
     )
     sums = ranged.groupBy(*keys, "__range").agg(F.sum("__w").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(upto, -1)
@@ -78,14 +81,14 @@ def running_total(df: DataFrame, by: list[str], value: str, weight: Column, name
     inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(upto, 0)
     return (
         ranged.withColumn("__s", F.sum("__w").over(inside))
-        .join(materialize(starts, "range_starts"), [*keys, "__range"])
+        .transform(lambda part: join_null_safe(part, materialize(starts, "range_starts"), [*keys, "__range"]))
         .withColumn(name, F.col("__start") + F.col("__s"))
         .drop("__w", "__all", "__range", "__s", "__start")
     )
 
 
-def ordinal(values: DataFrame, by: list[str], value: str, name: str, one_sort: int = ONE_SORT) -> DataFrame:
+def ordinal(values: DataFrame, by: list[str], value: str, name: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """0-based position of each distinct value within its group, in ascending order."""
     distinct = materialize(values.select(*by, value).distinct(), "domain")
-    ranked = running_total(distinct, by, value, F.lit(1), "__upto", one_sort)
+    ranked = running_total(distinct, by, value, F.lit(1), "__upto", range_rows)
     return ranked.select(*by, value, (F.col("__upto") - 1).cast("int").alias(name))

@@ -6,11 +6,12 @@ times; folds are fitted one after the other, each fit spread over the cluster.
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +76,48 @@ def importance(model, features: list[str], spark) -> DataFrame:
     return spark.createDataFrame(rows, "Feature string, Importance double").orderBy(F.desc("Importance"), "Feature")
 
 
-def fit_with_validation(boost: GBTRegressor, train: DataFrame, features: list[str], date: str = "date") -> PipelineModel:
-    """Fit with the last 30 training days as validation, where they hold enough rows."""
-    marked = materialize(validation_cut(train, 30, date=date), "boosted_train")
-    if marked.where("is_validation").limit(1).count():
-        boost = boost.copy().setValidationIndicatorCol("is_validation")
-    return Pipeline(stages=[assembler(features), boost]).fit(marked)
+# Rounds without a better validation loss after which boosting counts as done.
+PATIENCE = 100
+
+
+def best_round(losses: list[float], patience: int = PATIENCE) -> int:
+    """Rounds up to the lowest loss that is reached before ``patience`` rounds pass without a lower one."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The boosted model as it was after ``n`` rounds."""
+    context = SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    grown = model._java_obj.trees()
+    for k in range(n):
+        trees[k], weights[k] = grown[k], model.treeWeights[k]
+    cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def fit_with_validation(boost: GBTRegressor, train: DataFrame, features: list[str], date: str = "date",
+                        patience: int = PATIENCE) -> PipelineModel:
+    """Fit before the last 30 training days and keep the rounds that serve those days best.
+
+    Where they hold too few rows, nothing validates and all rounds stay.
+    """
+    vectors = assembler(features)
+    keep = ["features", boost.getLabelCol(), "is_validation", *([boost.getWeightCol()] if boost.isSet("weightCol") else [])]
+    marked = materialize(vectors.transform(validation_cut(train, 30, date=date)).select(*keep), "boosted_train")
+    model = boost.fit(marked.where("not is_validation"))
+    late = marked.where("is_validation")
+    if late.limit(1).count():
+        model = first_trees(model, best_round(model.evaluateEachIteration(late, boost.getLossType()), patience))
+    return PipelineModel(stages=[vectors, model])
 
 
 # --- medium segment ----------------------------------------------------------------------
@@ -166,14 +203,19 @@ def hurdle_forest(df: DataFrame, core: list[str], fold: Fold, trees: int = 100,
         "did_it_sell": F.when(F.col("sales") > 0, 1.0).otherwise(0.0), "log_sales": F.log1p("sales"),
     })
     vectors = assembler(HURDLE_FEATURES)
-    chance = RandomForestClassifier(labelCol="did_it_sell", numTrees=trees, maxDepth=depth, seed=seed,
-                                    predictionCol="sold")
+    sold = train.agg(F.avg("did_it_sell")).first()[0] or 0.0
+    if sold == 0.0:  # nothing ever sold: nothing will
+        return predictions(test, fold[0], F.lit(0.0))
     amount = RandomForestRegressor(labelCol="log_sales", featureSubsetStrategy="all", numTrees=trees,
                                    maxDepth=depth, seed=seed, predictionCol="log_amount")
-    sells = chance.fit(vectors.transform(train))
-    size = amount.fit(vectors.transform(train.where("did_it_sell = 1")))
-    scored = size.transform(sells.transform(vectors.transform(test)))
-    p = vector_to_array("probability")[1]
+    scored = vectors.transform(test)
+    p = F.lit(1.0)
+    if sold < 1.0:
+        chance = RandomForestClassifier(labelCol="did_it_sell", numTrees=trees, maxDepth=depth, seed=seed,
+                                        predictionCol="sold")
+        scored = chance.fit(vectors.transform(train)).transform(scored)
+        p = vector_to_array("probability")[1]
+    scored = amount.fit(vectors.transform(train.where("did_it_sell = 1"))).transform(scored)
     return predictions(scored, fold[0], hurdle(p, F.col("log_amount")))
 
 
@@ -201,15 +243,16 @@ def nominal(df: DataFrame, mapping: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def boosted_oof(df: DataFrame, folds: list[Fold], loss: str = "squared", iterations: int = 2000,
-                depth: int = 6, step: float = 0.03, seed: int = 42, y: str = "sales") -> DataFrame:
+                depth: int = 6, step: float = 0.03, seed: int = 42, y: str = "sales",
+                text_fill: str = "0") -> DataFrame:
     """Out-of-fold predictions of gradient boosting on every column but date and target.
 
-    Text columns are categories over all rows. The last 30 training days stop the
-    boosting where they hold enough rows.
+    Text columns are categories over all rows. The last 30 training days choose the number
+    of rounds where they hold enough rows. ``text_fill`` stands for a missing text.
     """
     features = features_of(df, [y, "date"])
     _, text = split_features(df.select(*features), [])
-    prepared = materialize(with_ids(fill_constants(df, 0, "0", subset=features)), "boosted_input")
+    prepared = materialize(with_ids(fill_constants(df, 0, text_fill, subset=features)), "boosted_input")
     mapping = materialize(fit_label(prepared, text), "codes")
     coded = materialize(apply_label(prepared, mapping, text), "boosted_codes")
     widest = mapping.groupBy("feature").count().agg(F.max("count")).first()[0] or 2

@@ -46,27 +46,34 @@ def _(spark, sf):
     return round_all(reports.linear_family_report(materialize(oof, "linear_oof")))
 
 
-def _medium(spark, sf):
-    table = model_table(spark, sf)
-    return trees.prepare_medium(table, segments(spark, sf, table), FOLDS[0], YEAR_WEIGHTS)
+def _medium(spark, sf, fold=FOLDS[0], table=None):
+    table = model_table(spark, sf) if table is None else table
+    return trees.prepare_medium(table, segments(spark, sf, table), fold, YEAR_WEIGHTS)
+
+
+def _each_fold(predict) -> DataFrame:
+    return trees.union([predict(fold) for fold in FOLDS])
 
 
 @query("m6_forest_medium")
 def _(spark, sf):
-    train, test = _medium(spark, sf)
-    return trees.forest_fit_predict(train, test, 1, trees=10, depth=6)[1]
+    table = model_table(spark, sf)
+    return _each_fold(lambda fold: trees.forest_fit_predict(
+        *_medium(spark, sf, fold, table), fold[0], trees=10, depth=6)[1])
 
 
 @query("m7_core_forest")
 def _(spark, sf):
     table = model_table(spark, sf)
-    return trees.core_forest(table, core_families(spark, sf, table), FOLDS[0], trees=10, depth=6)
+    core = core_families(spark, sf, table)
+    return _each_fold(lambda fold: trees.core_forest(table, core, fold, trees=10, depth=6))
 
 
 @query("m8_hurdle_forest")
 def _(spark, sf):
     table = model_table(spark, sf)
-    return trees.hurdle_forest(table, core_families(spark, sf, table), FOLDS[0], trees=10, depth=6)
+    core = core_families(spark, sf, table)
+    return _each_fold(lambda fold: trees.hurdle_forest(table, core, fold, trees=10, depth=6))
 
 
 @query("m8_hurdle_combine", sql_rounded("""
@@ -88,14 +95,23 @@ def _(spark, sf):
 @query("m10_boosted_oof")
 def _(spark, sf):
     table = model_table(spark, sf)
-    oof = trees.boosted_oof(table, FOLDS, iterations=5, depth=4, step=0.3)
+    oof = trees.boosted_oof(table, FOLDS, iterations=20, depth=6, step=0.1)
     return round_all(reports.boosted_fold_report(materialize(oof, "boosted_oof"), table, FOLDS))
 
 
+@query("m10_boosted_oof_missing_text")
+def _(spark, sf):
+    """The second variant: its own step, missing texts under a name of their own."""
+    table = model_table(spark, sf)
+    oof = trees.boosted_oof(table, FOLDS, iterations=10, depth=6, step=0.05, text_fill="missing")
+    return round_all(reports.boosted_family_report(materialize(oof, "boosted_oof")))
+
+
 @query("m11_boosted_medium")
 def _(spark, sf):
-    train, test = _medium(spark, sf)
-    scored = trees.boosted_fit_predict(train, test, 1, iterations=10, depth=4, step=0.2)[1]
+    table = model_table(spark, sf)
+    scored = _each_fold(lambda fold: trees.boosted_fit_predict(
+        *_medium(spark, sf, fold, table), fold[0], iterations=10, depth=6, step=0.1)[1])
     return round_all(reports.medium_family_report(materialize(scored, "boosted_oof")))
 
 

@@ -139,3 +139,13 @@ def test_correlation_of_a_constant_side_is_null(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (1, 2.0, 5.0), (2, 1.0, 2.0), (2, 2.0, 4.0)],
                                "cluster int, sales double, dcoilwtico double")
     assert [(r["cluster"], round(r["corr_sales_oil"], 9)) for r in A.oil_correlation(df).collect()] == [(2, 1.0)]
+
+
+def test_incomplete_rows_count_nowhere_and_null_groups_stay(spark):
+    rows = [("a", 1.0, 2.0), ("a", 5.0, None), ("a", None, 3.0), (None, 2.0, 2.5), (None, 4.0, 4.0)]
+    table = spark.createDataFrame(rows, "g string, y_true double, y_pred double")
+    sums = M.error_sums(table, ["g"])
+    got = {r["g"]: r for r in sums.select("g", "n", "sum_y", M.mae().alias("mae")).collect()}
+    assert (got["a"]["n"], got["a"]["sum_y"], got["a"]["mae"]) == (1, 1.0, 1.0)
+    banded = M.normal_band(table, sums, ["g"], M.residual_std())
+    assert {r["g"] for r in banded.collect()} == {"a", None}

@@ -151,3 +151,41 @@ def test_hurdle(spark):
     df = spark.createDataFrame([(0.5, float(np.log1p(10.0))), (0.2, -1.0)], "p double, a double")
     got = [r[0] for r in df.select(trees.hurdle(F.col("p"), F.col("a"))).collect()]
     assert got == [pytest.approx(5.0), 0.0]
+
+
+def test_best_round_waits_for_patience():
+    assert trees.best_round([5.0, 4.0, 4.5, 3.0, 3.5, 3.6], patience=2) == 4
+    assert trees.best_round([5.0, 4.0, 4.5, 4.6, 1.0], patience=2) == 2
+    assert trees.best_round([5.0]) == 1
+
+
+def test_rounds_serve_an_additive_target(spark):
+    """Two additive steps need more than one tree; more rounds bring the loss down."""
+    rows = [(dt.date(2000, 1, 1) + dt.timedelta(days=i // 8), float(i % 2), float(i // 2 % 2), 10.0 * (i % 2) + 3.0 * (i // 2 % 2))
+            for i in range(1600)]
+    table = materialize(spark.createDataFrame(rows, "date date, a double, b double, sales double").withColumn("fold", F.lit(1)))
+    errors = []
+    for rounds in (2, 25):
+        boost = trees.GBTRegressor(labelCol="sales", maxIter=rounds, maxDepth=1, stepSize=0.3, seed=1)
+        model = trees.fit_with_validation(boost, table, ["a", "b"])
+        errors.append(model.transform(table).agg(F.avg(F.abs(F.col("sales") - F.col("prediction")))).first()[0])
+    assert model.stages[-1].getNumTrees > 5
+    assert errors[1] < 0.5 * errors[0]
+
+
+def test_kept_trees_are_the_first_rounds(spark, panel):
+    """After a cut the model scores as one that was fitted for so many rounds."""
+    train = materialize(panel.select("sales", F.col("store_nbr").cast("double").alias("s"), F.col("onpromotion").cast("double").alias("o")))
+    vectors = trees.assembler(["s", "o"]).transform(train)
+    long, short = (trees.GBTRegressor(labelCol="sales", maxIter=n, maxDepth=2, seed=3).fit(vectors) for n in (8, 3))
+    cut = trees.first_trees(long, 3)
+    difference = cut.transform(vectors).agg(F.sum("prediction")).first()[0] - short.transform(vectors).agg(F.sum("prediction")).first()[0]
+    assert cut.getNumTrees == 3 and abs(difference) < 1e-6
+
+
+@pytest.mark.parametrize("sales", [0.0, 4.0])
+def test_hurdle_of_families_that_never_or_always_sell(spark, panel, sales):
+    rows = materialize(panel.withColumn("sales", F.lit(sales)))
+    got = materialize(trees.hurdle_forest(rows, ["A"], FOLD, trees=2, depth=2))
+    assert got.count() == 92 * 6
+    assert [r[0] for r in got.select("y_pred").distinct().collect()] == [pytest.approx(sales)]

@@ -17,10 +17,10 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.05, 0.5, 0.95, 0.99, 1.0])
-@pytest.mark.parametrize("accuracy,one_sort", [(10_000, 2_000_000), (100, 2_000_000), (100, 50)])
-def test_exact_quantile(skewed, q, accuracy, one_sort):
+@pytest.mark.parametrize("accuracy,range_rows", [(10_000, 2_000_000), (100, 2_000_000), (100, 50)])
+def test_exact_quantile(skewed, q, accuracy, range_rows):
     df, rows = skewed
-    got = quantiles.exact_quantiles(df, ["g"], {"x": ("v", q)}, accuracy, one_sort)
+    got = quantiles.exact_quantiles(df, ["g"], {"x": ("v", q)}, accuracy, range_rows)
     got = {r["g"]: r["x"] for r in got.collect()}
     for g in ("hot", "cold", "few"):
         want = np.quantile([v for k, v in rows if k == g and v is not None], q)
@@ -42,11 +42,11 @@ def test_clip_outliers_keeps_floor(spark):
     assert got["B"] == (2.0, 3)
 
 
-@pytest.mark.parametrize("one_sort", [2_000_000, 20])
-def test_ordinal_is_dense_and_sorted(spark, one_sort):
+@pytest.mark.parametrize("range_rows", [2_000_000, 20])
+def test_ordinal_is_dense_and_sorted(spark, range_rows):
     values = [f"v{i * 7919 % 1000:04d}" for i in range(1000)]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", "x"), ("b", "x"), ("b", "y")], "f string, v string")
-    got = ranking.ordinal(df, ["f"], "v", "code", one_sort).collect()
+    got = ranking.ordinal(df, ["f"], "v", "code", range_rows).collect()
     assert {(r["f"], r["v"]): r["code"] for r in got} == {
         **{("a", v): i for i, v in enumerate(sorted(values))}, ("b", "x"): 0, ("b", "y"): 1}
 
