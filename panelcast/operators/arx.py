@@ -225,26 +225,56 @@ def order_text(*parts: Column | str) -> Column:
     return F.concat(F.lit("("), F.concat_ws(", ", *[c.cast("string") for c in cells]), F.lit(")"))
 
 
+def default_orders(design: DataFrame, best: DataFrame) -> DataFrame:
+    """The default order's terms for families that no candidate serves, on the rows there are.
+
+    Shocks that a short series has not are 0. A family with too few rows even for these terms
+    has no coefficients, and the spread of its differenced series.
+    """
+    rows = design.join(best.select(*KEY), KEY, "left_anti").where("not is_test and w is not null")
+    terms = [AR[0], MA[0], SMA[0], *DX]
+    usable = rows.na.drop(subset=[AR[0]]).na.fill(0.0, subset=[*terms, *DX])
+    fit = materialize(grouped_ols(usable, KEY, terms, "w", min_n=len(terms) + 2, impute=[]), "arx_default")
+    error = F.col("w") - F.col("__fit")
+    spread = predict(usable, fit, KEY, terms, "__fit").groupBy(*KEY).agg(
+        F.sqrt(F.sum(error * error) / F.greatest(F.count(error) - len(terms) - 1, F.lit(1))).alias("sigma"))
+    own = {c: F.col("coefs")[i] for i, c in enumerate(terms)}
+    # An autoregressive part that does not forget its past would run away.
+    own[AR[0]] = F.greatest(F.least(own[AR[0]], F.lit(0.99)), F.lit(-0.99))
+    fitted = fit.join(spread, KEY).select(
+        *KEY, F.array(*[own.get(c, F.lit(0.0)) for c in FULL]).alias("coefs"), "intercept", "sigma")
+    alone = rows.groupBy(*KEY).agg(F.coalesce(F.stddev_pop("w"), F.lit(0.0)).alias("spread"))
+    return alone.join(fitted, KEY, "left").select(
+        *KEY, F.when(F.col("coefs").isNull(), "no terms").otherwise("default").alias("kind"),
+        F.coalesce("coefs", F.array(*[F.lit(0.0)] * len(FULL))).alias("default_coefs"),
+        F.coalesce("intercept", F.lit(0.0)).alias("default_intercept"),
+        F.coalesce("sigma", "spread").alias("default_sigma"))
+
+
 def seasonal_arx(daily: DataFrame, horizon: int = 90) -> tuple[DataFrame, DataFrame]:
     """(forecast rows with a 95 % band, orders per family with a status).
 
     ``daily`` has one row per family and day. Families with ``horizon`` days or fewer
-    are left out.
+    are left out. Status: fitted (the reported order is the best candidate), default (the
+    default order's terms were fitted), no terms (the default differences alone).
     """
     design = prepare(daily, horizon)
     best = materialize(best_orders(candidates(design)), "arx_best")
-    plan = design.select(*KEY, "d", "sd", "status").distinct().join(best, KEY, "left")
-    plan = materialize(plan.withColumns({
-        "status": F.when(F.col("coefs").isNull(), "default").otherwise(F.col("status")),
-        "coefs": F.coalesce("coefs", F.array(*[F.lit(0.0)] * len(FULL))),
-        "intercept": F.coalesce("intercept", F.lit(0.0)),
-        "sigma": F.coalesce("sigma", F.lit(0.0)),
-    }), "arx_plan")
+    spare = materialize(default_orders(design, best), "arx_spare")
+    plan = design.select(*KEY, "d", "sd").distinct().join(best, KEY, "left").join(spare, KEY, "left")
+    served = F.col("coefs").isNotNull()
+    plan = materialize(plan.select(
+        *KEY, "p", "q", "sp", "sq", "aic",
+        "d", "sd",
+        F.when(served, "fitted").otherwise(F.coalesce("kind", F.lit("no terms"))).alias("status"),
+        F.coalesce("coefs", "default_coefs", F.array(*[F.lit(0.0)] * len(FULL))).alias("coefs"),
+        F.coalesce("intercept", "default_intercept", F.lit(0.0)).alias("intercept"),
+        F.coalesce("sigma", "default_sigma", F.lit(0.0)).alias("sigma")), "arx_plan")
     orders = plan.select(
         *KEY, "status",
-        F.when(F.col("aic").isNull(), F.lit(str(DEFAULT_ORDER))).otherwise(order_text("p", "d", "q")).alias("Order"),
-        F.when(F.col("aic").isNull(), F.lit(str(DEFAULT_SEASONAL)))
-        .otherwise(order_text("sp", "sd", "sq", F.lit(SEASON))).alias("Seasonal_Order"),
+        order_text(F.coalesce("p", F.lit(DEFAULT_ORDER[0])), "d", F.coalesce("q", F.lit(DEFAULT_ORDER[2]))).alias("Order"),
+        order_text(F.coalesce("sp", F.lit(DEFAULT_SEASONAL[0])), "sd", F.coalesce("sq", F.lit(DEFAULT_SEASONAL[2])),
+                   F.lit(SEASON)).alias("Seasonal_Order"),
     )
     # The recursion needs only the rows its longest lag reaches back to.
     reach = horizon + SEASON * MAX_SP + SEASON + 2

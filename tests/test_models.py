@@ -31,7 +31,7 @@ def series(spark):
     for i in range(1, n):
         ar[i] = 0.7 * ar[i - 1] + rng.normal()
     return daily(spark, {"weekly": weekly, "ar": 50 + ar, "trend": 10 + 0.5 * t + rng.normal(0, 1, n),
-                         "short": rng.normal(10, 1, 130), "flat": np.full(200, 5.0)})
+                         "short": rng.normal(10, 1, 130), "flat": np.full(200, 5.0), "tiny": rng.normal(10, 1, 100), "nearly": rng.normal(10, 1, 66)})
 
 
 def scores(forecast):
@@ -49,7 +49,12 @@ def test_arx(series):
     assert got["ar"]["mae"] < 4 and got["ar"]["cov"] > 75 and got["weekly"]["cov"] > 75
     assert forecast.where("y_pred < 0 or lower < 0 or lower > upper").count() == 0
     status = {r["family"]: (r["status"], r["Order"], r["Seasonal_Order"]) for r in orders.collect()}
-    assert status["short"][0] == "default" or status["short"][1] != ""
+    assert status["short"][0] == "fitted"
+    # Forty training days carry no candidate: the default order is fitted on them, with a band.
+    assert status["tiny"] == ("default", "(1, 1, 1)", "(0, 1, 1, 7)")
+    assert status["nearly"][0] == "no terms"
+    width = forecast.where("family = 'tiny'").agg(F.min(F.col("upper") - F.col("lower"))).first()[0]
+    assert width > 1 and got["tiny"]["cov"] > 50
     assert status["ar"][0] == "fitted" and status["ar"][2].endswith(", 7)")
 
 
