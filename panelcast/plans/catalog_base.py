@@ -388,16 +388,16 @@ def _(spark, sf):
 
 
 @query("a9_clip_outliers", sql_rounded("""
-SELECT p.date, p.store_nbr, p.family, least(p.sales, t.cap) AS sales, t.cap
-FROM panel p JOIN (SELECT family, greatest(quantile_cont(sales, 0.99), 10) AS cap FROM panel
-  WHERE date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31' GROUP BY family) t ON p.family = t.family
-WHERE p.date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'
-  AND p.family IN (SELECT family FROM seg WHERE segment = 'Medium')""", ["sales", "cap"]))
+SELECT f.fold, p.date, p.store_nbr, p.family, least(p.sales, t.cap) AS sales, t.cap
+FROM panel p JOIN folds f ON p.date BETWEEN f.train_start AND f.train_end
+JOIN (SELECT fold, family, greatest(quantile_cont(sales, 0.99), 10) AS cap FROM panel
+  JOIN folds ON date BETWEEN train_start AND train_end GROUP BY fold, family) t ON p.family = t.family AND f.fold = t.fold
+WHERE p.family IN (SELECT family FROM seg WHERE segment = 'Medium')""", ["sales", "cap"]))
 def _(spark, sf):
     panel = panel_table(spark, sf)
     medium = joins.in_segment(panel, segments(spark, sf, panel), ["Medium"])
-    train = folds.train_rows(medium, FOLDS[0])
-    return round_all(quantiles.clip_outliers(train, keep_cap=True).select(*KEY, "sales", "cap"))
+    train = materialize(folds.assign_folds(medium, FOLDS).where("split = 'train'"), "train")
+    return round_all(quantiles.clip_outliers(train, by=["fold", "family"], keep_cap=True).select("fold", *KEY, "sales", "cap"))
 
 
 @query("a10_target_scale", sql("SELECT round(greatest(quantile_cont(sales, 0.95), 1.0), 6) AS scale FROM panel"))
@@ -631,10 +631,11 @@ def _(spark, sf):
 
 
 @query("u3_distinct_union", sql("""
-SELECT DISTINCT city AS value FROM panel WHERE date BETWEEN DATE '1997-01-01' AND DATE '2000-03-31'"""))
+SELECT DISTINCT city AS value FROM panel JOIN folds
+ON date BETWEEN train_start AND train_end OR date BETWEEN test_start AND test_end"""))
 def _(spark, sf):
-    panel = panel_table(spark, sf)
-    return encode.distinct_union(folds.train_rows(panel, FOLDS[0]), folds.test_rows(panel, FOLDS[0]), "city")
+    rows = folds.assign_folds(panel_table(spark, sf), FOLDS)
+    return encode.distinct_union(rows.where("split = 'train'"), rows.where("split = 'test'"), "city")
 
 
 # --- encoders, imputation, scaling -------------------------------------------------------

@@ -289,26 +289,27 @@ def _(spark, sf):
 # --- quantile forecast -------------------------------------------------------------------
 
 OFFSETS = """
-tr AS (SELECT family, sales - rolling_mean_30 AS e FROM feat
-       WHERE rolling_mean_30 IS NOT NULL AND date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'),
-off AS (SELECT family, quantile_cont(e, 0.05) AS o1, quantile_cont(e, 0.5) AS o2, quantile_cont(e, 0.95) AS o3 FROM tr GROUP BY family),
-qq AS (SELECT f.date, f.store_nbr, f.family, greatest(f.rolling_mean_30 + o1, 0) AS q05,
+tr AS (SELECT fold, family, sales - rolling_mean_30 AS e FROM feat JOIN folds ON date BETWEEN train_start AND train_end
+       WHERE rolling_mean_30 IS NOT NULL),
+off AS (SELECT fold, family, quantile_cont(e, 0.05) AS o1, quantile_cont(e, 0.5) AS o2, quantile_cont(e, 0.95) AS o3
+        FROM tr GROUP BY fold, family),
+qq AS (SELECT folds.fold, f.date, f.store_nbr, f.family, greatest(f.rolling_mean_30 + o1, 0) AS q05,
               greatest(f.rolling_mean_30 + o2, 0) AS m, greatest(f.rolling_mean_30 + o3, 0) AS h
-       FROM feat f JOIN off ON f.family = off.family
-       WHERE rolling_mean_30 IS NOT NULL AND date BETWEEN DATE '2000-01-01' AND DATE '2000-03-31')"""
+       FROM feat f JOIN folds ON f.date BETWEEN test_start AND test_end
+       JOIN off ON f.family = off.family AND folds.fold = off.fold WHERE rolling_mean_30 IS NOT NULL)"""
 
 
 @query("m15_quantiles_from_residuals", sql_rounded("""
-SELECT date, store_nbr, family, q05, greatest(q05, m) AS q50, greatest(q05, m, h) AS q95 FROM qq""",
+SELECT fold, date, store_nbr, family, q05, greatest(q05, m) AS q50, greatest(q05, m, h) AS q95 FROM qq""",
                                                    ["q05", "q50", "q95"], ctes=OFFSETS))
 def _(spark, sf):
     panel = sales_panel(spark, sf, oil=False)
     table = materialize(windows.series_select(panel, windows.add_rolling([30], "mean")).na.drop(
         subset=["rolling_mean_30"]).select(*KEY, "sales", "rolling_mean_30"), "features")
-    train, test = folds.train_rows(table, FOLDS[0]), folds.test_rows(table, FOLDS[0])
-    offsets = linear.residual_quantiles(train, ["family"], "sales", "rolling_mean_30", linear.TAUS)
-    scored = linear.add_quantiles(test, offsets, ["family"], "rolling_mean_30")
-    return round_all(scored.select(*KEY, "q05", "q50", "q95"))
+    rows, by = folds.assign_folds(table, FOLDS), ["fold", "family"]
+    offsets = linear.residual_quantiles(rows.where("split = 'train'"), by, "sales", "rolling_mean_30", linear.TAUS)
+    scored = linear.add_quantiles(rows.where("split = 'test'"), offsets, by, "rolling_mean_30")
+    return round_all(scored.select("fold", *KEY, "q05", "q50", "q95"))
 
 
 FITTED = """
