@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.tables import Written
-from panelcast.llm.tokens import WORD_PIECES, special_strings, vocabulary, worker_cache
+from panelcast.llm.tokens import WORD_PIECES, WORD_RUNS, worker_encoder
 
 CAPACITY = 2048
 CLOSING_ID = 0
 ROUNDS = 240
 # Strength of a price's answer to a lag of one round.
 RATE = 0.08
-GROUP_CHARS = 2_000_000
+# Bytes of ids that are sent on together, to bound memory.
+GROUP_BYTES = 16_000_000
 
 
 # --- pieces ------------------------------------------------------------------------------
@@ -52,20 +53,11 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, doc_
     """
     closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
 
-    def packed(encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
+    def packed(ids: list[int]) -> bytes:
+        return np.array(ids, dtype="<u4").tobytes()
 
     def encode(batches):
-        tokenizer = vocabulary(vocabulary_path)
-        special = special_strings(tokenizer)
-        cache = worker_cache("ids", vocabulary_path, packed)
-
-        def ids_of(texts):
-            words = [WORD_PIECES.findall(t) for t in texts]
-            long = cache.learn(w for each in words for w in each)
-            if long is None:
-                return [b"".join(map(cache.__getitem__, each)) for each in words]
-            return [b"".join(cache[w] if w in cache else long[w] for w in each) for each in words]
+        ids_of = worker_encoder("ids", vocabulary_path, pieces=WORD_PIECES, runs=WORD_RUNS, value=packed, join=b"".join, lower=True)
 
         def rows(ids, values):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
@@ -81,20 +73,16 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, doc_
 
         for batch in batches:
             id_type = batch.column(0).type
-            group, chars = [], 0
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, value in enumerate(texts):
-                value = value or ""
-                if any(s in value for s in special):
-                    yield rows([names[i]], [packed(tokenizer.encode(value, add_special_tokens=False))])
-                    continue
-                group.append(i)
-                chars += len(value)
-                if chars > GROUP_CHARS:
-                    yield rows([names[k] for k in group], ids_of([texts[k] or "" for k in group]))
-                    group, chars = [], 0
-            if group:
-                yield rows([names[k] for k in group], ids_of([texts[k] or "" for k in group]))
+            names, values, size = [], [], 0
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                names.append(name)
+                values.append(ids_of(value.as_py() or ""))
+                size += len(values[-1])
+                if size > GROUP_BYTES:
+                    yield rows(names, values)
+                    names, values, size = [], [], 0
+            if names:
+                yield rows(names, values)
 
     rows_in = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = rows_in.schema["doc_id"].dataType.simpleString()

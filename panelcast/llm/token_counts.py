@@ -18,15 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.tokens import BYTE_PIECES, LONGEST_CACHED, special_strings, vocabulary, worker_cache
+from panelcast.llm.tokens import BYTE_PIECES, BYTE_RUNS, LONGEST_CACHED, PLAIN, vocabulary, worker_encoder
 
 # Pieces in the broadcast table: at most 32,768 of at most 64 characters.
 TABLE_SIZE = 32_768
 # Pieces a task keeps while it counts, and how many of them it sends.
 TASK_KEEPS = 65_536
 TASK_SENDS = 4_096
-# Texts are cut into pieces in groups of about so many characters, to bound memory.
-GROUP_CHARS = 4_000_000
 
 
 def frequent_pieces(docs: DataFrame, text: str = "text") -> list[str]:
@@ -36,8 +34,11 @@ def frequent_pieces(docs: DataFrame, text: str = "text") -> list[str]:
         seen: Counter = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                if value:
-                    seen.update(p for p in BYTE_PIECES.findall(value) if len(p) <= LONGEST_CACHED)
+                if value and PLAIN.fullmatch(value):
+                    runs = BYTE_RUNS.findall(value)
+                    if max(map(len, runs)) > LONGEST_CACHED:
+                        runs = [r for r in runs if len(r) <= LONGEST_CACHED]
+                    seen.update(runs)
                 if len(seen) > 8 * TASK_KEEPS:
                     seen = Counter(dict(seen.most_common(TASK_KEEPS)))
         best = seen.most_common(TASK_SENDS)
@@ -56,36 +57,11 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id",
     table = docs.sparkSession.sparkContext.broadcast(dict(zip(frequent, map(len, encoded))))
 
     def count(batches):
-        tokenizer = vocabulary(vocabulary_path)
-        special = special_strings(tokenizer)
-        cache = worker_cache("counts", vocabulary_path, len, table.value)
-
-        def counts(texts):
-            """Token counts of texts without special strings."""
-            pieces = [BYTE_PIECES.findall(t) for t in texts]
-            long = cache.learn(p for each in pieces for p in each)
-            if long is None:
-                return [sum(map(cache.__getitem__, each)) for each in pieces]
-            return [sum(cache[p] if p in cache else long[p] for p in each) for each in pieces]
+        n_tokens = worker_encoder("counts", vocabulary_path, pieces=BYTE_PIECES, runs=BYTE_RUNS, value=len, join=sum)
+        n_tokens.runs.keep(table.value)
 
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            totals = [0] * len(texts)
-            group, chars = [], 0
-            for i, value in enumerate(texts):
-                if not value:
-                    continue
-                if any(s in value for s in special):
-                    totals[i] = len(tokenizer.encode(value, add_special_tokens=False))
-                    continue
-                group.append(i)
-                chars += len(value)
-                if chars > GROUP_CHARS:
-                    for k, n in zip(group, counts([texts[k] for k in group])):
-                        totals[k] = n
-                    group, chars = [], 0
-            for k, n in zip(group, counts([texts[k] for k in group])):
-                totals[k] = n
+            totals = [n_tokens(t.as_py() or "") for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 

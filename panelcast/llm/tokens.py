@@ -12,7 +12,7 @@ import os
 import re
 import sys
 import types
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -25,8 +25,22 @@ WORD_PIECES = re.compile(f"[^{SPACE}]+")
 
 # Pieces longer than this are encoded when met and not remembered.
 LONGEST_CACHED = 64
-# Pieces a worker remembers before it starts afresh: some 150 MB.
-CACHE_SIZE = 1_000_000
+# Runs a worker remembers before it starts afresh: some 100 MB.
+CACHE_SIZE = 500_000
+
+# Texts of plain letters, figures, signs and white space fall into runs that a vocabulary
+# encodes one by one, so the ids of a run come from the vocabulary's merges without the way
+# through the whole library. Pieces of other texts (apostrophes, other scripts) that are not
+# plain themselves take that way.
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+SIGNS = "!-&(-/:-@\\[-`{-~"
+PLAIN = re.compile(f"[{LETTERS}0-9{SIGNS}\t-\r ]*")
+BYTE_RUNS = re.compile(f" ?[{LETTERS}]+| ?[0-9]+| ?[{SIGNS}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+WORD_RUNS = re.compile(f"[{LETTERS}]+|[0-9]|[{SIGNS}]+")
+# Byte-level vocabularies write a byte as a printable character: its own if it has one, else
+# the next free one from 256 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(PRINTED))}
 
 
 def process_state() -> dict:
@@ -45,45 +59,65 @@ def vocabulary(path: str):
     return state[path]
 
 
-def worker_cache(use: str, path: str, value: Callable, frequent: dict | None = None) -> PieceCache:
-    """The worker's cache for one use of a vocabulary; later tasks find it filled."""
-    state, key = process_state(), f"{use} {path}"
-    if key not in state:
-        state[key] = PieceCache(vocabulary(path), value)
-    cache = state[key]
-    if frequent:
-        cache.frequent = frequent
-        cache.update(frequent)
-    return cache
-
-
 def special_strings(tokenizer) -> list[str]:
     return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
-class PieceCache(dict):
-    """Piece -> value of its encoding; what is missing is encoded by the library in batches."""
+class Known(dict):
+    """Key -> ``make(key)``, remembered for short keys, started afresh when full."""
 
-    def __init__(self, tokenizer, value: Callable, size: int = CACHE_SIZE):
+    def __init__(self, make: Callable, size: int = CACHE_SIZE):
         super().__init__()
-        self.tokenizer, self.value, self.frequent, self.size = tokenizer, value, {}, size
-
-    def learn(self, pieces: Iterable[str]) -> dict | None:
-        """Make every piece known; values too long to remember are returned apart."""
-        wanted = set(pieces)
-        missing = [p for p in wanted if p not in self]
-        if not missing:
-            return None
-        if len(self) + len(missing) > self.size + len(self.frequent):
-            self.clear()
-            self.update(self.frequent)
-            missing = [p for p in wanted if p not in self]
-        short = [p for p in missing if len(p) <= LONGEST_CACHED]
-        for start in range(0, len(short), 4096):
-            part = short[start:start + 4096]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.update(zip(part, map(self.value, encoded)))
-        if len(short) == len(missing):
-            return None
-        return {p: self.value(self.tokenizer.encode(p, add_special_tokens=False))
-                for p in missing if len(p) > LONGEST_CACHED}
+        self.make, self.size, self.frequent = make, size, {}
+
+    def __missing__(self, key: str):
+        found = self.make(key)
+        if len(key) <= LONGEST_CACHED:
+            if len(self) > self.size + len(self.frequent):
+                self.clear()
+                self.update(self.frequent)
+            self[key] = found
+        return found
+
+    def keep(self, frequent: dict) -> None:
+        """Entries that a fresh start does not lose."""
+        self.frequent = frequent
+        self.update(frequent)
+
+
+class Encoder:
+    """What ``value`` makes of the ids of whole texts; ``join`` adds up the values of their parts.
+
+    ``pieces`` and ``runs`` are the vocabulary's patterns above; ``lower`` says that it folds case.
+    """
+
+    def __init__(self, tokenizer, pieces: re.Pattern, runs: re.Pattern, value: Callable, join: Callable,
+                 lower: bool = False, size: int = CACHE_SIZE):
+        self.tokenizer, self.merges, self.special = tokenizer, tokenizer.model, special_strings(tokenizer)
+        self.pieces, self.run_pattern, self.value, self.join, self.lower = pieces, runs, value, join, lower
+        self.runs, self.others = Known(self.of_run, size), Known(self.of_other, size)
+
+    def __call__(self, text: str):
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return self.of_plain(text)
+        if any(s in text for s in self.special):
+            return self.of_other(text)
+        return self.join([self.of_plain(p) if PLAIN.fullmatch(p) else self.others[p] for p in self.pieces.findall(text)])
+
+    def of_plain(self, text: str):
+        return self.join(map(self.runs.__getitem__, self.run_pattern.findall(text.lower() if self.lower else text)))
+
+    def of_run(self, run: str):
+        letters = run.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self.value([t.id for t in self.merges.tokenize(letters)])
+
+    def of_other(self, text: str):
+        return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def worker_encoder(use: str, path: str, **how) -> Encoder:
+    """The worker's encoder for one use of a vocabulary; later tasks find its caches filled."""
+    state, key = process_state(), f"{use} {path}"
+    if key not in state:
+        state[key] = Encoder(vocabulary(path), **how)
+    return state[key]
