@@ -40,6 +40,8 @@ MIN_MATCH = 13
 ITEM_SHARE = 0.8
 PENALTY = 2
 BLOCK_WORDS = 500_000
+# Words of texts that are searched together.
+GROUP_WORDS = 100_000
 # Seeds are looked up in a table of bits first: 2 MB whatever the block holds.
 FILTER_BITS = 24
 CACHE_SIZE = 1_000_000
@@ -55,7 +57,7 @@ class WordHashes(dict):
 
 def words_of(text: str | None, hashes: WordHashes) -> np.ndarray:
     found = WORD.findall((text or "").lower())
-    return np.fromiter((hashes[w] for w in found), dtype=np.uint64, count=len(found))
+    return np.fromiter(map(hashes.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
 def multipliers() -> np.ndarray:
@@ -120,32 +122,37 @@ class Block:
         place = [np.concatenate([np.empty(0, np.int64), *x])[order] for x in (item, at)]
         return cls([i for i, _ in items], texts, masks, values[order], *place, np.packbits(bits))
 
-    def diagonals(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place of the item's first word in the text) of every hit."""
-        hits: set[tuple[int, int]] = set()
+    def hits(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows (text, item, place in ``words`` of the item's first word) of every seed that matches.
+
+        ``words`` holds texts one after the other, ``ends`` where each ends.
+        """
+        found = [np.empty((0, 3), np.int64)]
         for salt, mask in self.masks.items():
             values = seeds(words, mask, salt)
             top = values >> np.uint64(64 - FILTER_BITS)
             maybe = np.flatnonzero(self.bits[(top >> np.uint64(3)).astype(np.int64)] >> (7 - (top & np.uint64(7)).astype(np.uint8)) & 1)
-            if not len(maybe):
-                continue
-            low = np.searchsorted(self.values, values[maybe], side="left")
-            high = np.searchsorted(self.values, values[maybe], side="right")
-            for place, a, b in zip(maybe.tolist(), low.tolist(), high.tolist()):
-                for k in range(a, b):
-                    hits.add((int(self.item[k]), place - int(self.at[k])))
-        return hits
-
-    def leaks(self, words: np.ndarray) -> dict[int, tuple[int, int]]:
-        """item -> (matching words, first word) of its best stretch, if it is long enough."""
-        best: dict[int, tuple[int, int]] = {}
-        for item, start in sorted(self.diagonals(words)):
-            own = self.words[item]
-            a, b = max(0, -start), min(len(own), len(words) - start)
-            same = own[a:b] == words[start + a:start + b]
-            matches, first = stretch(same)
-            if matches >= min(MIN_MATCH, -(-len(own) * ITEM_SHARE // 1)) and matches > best.get(item, (0, 0))[0]:
-                best[item] = (matches, start + a + first)
+            low, high = (np.searchsorted(self.values, values[maybe], side=x) for x in ("left", "right"))
+            n = high - low
+            match = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            place = np.repeat(maybe, n)
+            text = np.searchsorted(ends, place, side="right")
+            rows = np.stack([text, self.item[match], place - self.at[match]], axis=1)
+            found.append(rows[place + len(mask) <= ends[text]])
+        return np.unique(np.concatenate(found), axis=0)
+
+    def leaks(self, texts: list[np.ndarray]) -> list[dict[int, tuple[int, int]]]:
+        """For each text: item -> (matching words, first word) of its best stretch, if that is long enough."""
+        words = np.concatenate([np.empty(0, np.uint64), *texts])
+        ends = np.cumsum([len(t) for t in texts])
+        best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+        for k, item, place in self.hits(words, ends).tolist():
+            text, own = texts[k], self.words[item]
+            start = place - (int(ends[k]) - len(text))
+            a, b = max(0, -start), min(len(own), len(text) - start)
+            matches, first = stretch(own[a:b] == text[start + a:start + b])
+            if matches >= min(MIN_MATCH, -(-len(own) * ITEM_SHARE // 1)) and matches > best[k].get(item, (0, 0))[0]:
+                best[k][item] = (matches, start + a + first)
         return best
 
 
@@ -185,13 +192,21 @@ def search(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
         def run(batches, shared=shared):
             block, hashes = Block(**shared.value), WordHashes()
+
+            def leaks_of(texts):
+                return [[{"item_id": block.ids[k], "n_matched": n, "n_item_words": len(block.words[k]), "first_word": at}
+                         for k, (n, at) in sorted(found.items())] for found in block.leaks(texts)]
+
             for batch in batches:
-                leaks = []
-                for value, known in zip(batch.column(1), batch.column(2).to_pylist()):
-                    words = words_of(value.as_py(), hashes)
-                    leaks.append(known + [
-                        {"item_id": block.ids[k], "n_matched": n, "n_item_words": len(block.words[k]), "first_word": at}
-                        for k, (n, at) in sorted(block.leaks(words).items())])
+                leaks, waiting, size = [], [], 0
+                for value in batch.column(1):
+                    waiting.append(words_of(value.as_py(), hashes))
+                    size += len(waiting[-1])
+                    if size > GROUP_WORDS:
+                        leaks += leaks_of(waiting)
+                        waiting, size = [], 0
+                leaks += leaks_of(waiting)
+                leaks = [known + new for known, new in zip(batch.column(2).to_pylist(), leaks)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(leaks, arrow_kind)], names=["doc_id", "text", "leaks"])
 
