@@ -145,6 +145,8 @@ def parse(page: str) -> Block:
                 at.add(" ", False)
             continue
         link = 0
+        if at.tag == "head":  # what follows an unclosed head is not part of it
+            at = at.parent
         if name in CLOSES_P:
             up = at
             while up is not root and up.tag != "p" and up.tag not in SCOPES:

@@ -88,6 +88,11 @@ def test_parse_closes_what_markup_leaves_open():
     assert sorted(found) == ["a", "b", "c", "d", "e", "f g <h>"]
 
 
+def test_an_unclosed_head_ends_where_blocks_begin(spark, trees):
+    page = f"<html><head><meta charset=x><title>t</title><style>p{{}}</style><body><article>{STORY}</article>"
+    assert extract(spark, trees, [page]) == [STORY_TEXT]
+
+
 def test_decoding_never_keeps_a_block_of_a_dropped_one():
     root = H.parse("<div><p>a</p><div><p>b</p></div></div><div><p>c</p></div>")
     blocks = H.in_order(root)
