@@ -38,7 +38,7 @@ from panelcast.llm.tables import Written
 TRAIN_PAGES = 1_500
 TEST_SHARE = 0.2
 # Pages are scored together up to so many blocks, to bound memory.
-GROUP_BLOCKS = 50_000
+GROUP_BLOCKS = 8_000
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
