@@ -6,6 +6,8 @@ times; folds are fitted one after the other, each fit spread over the cluster.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -104,6 +106,14 @@ def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
     return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
+def fit_rounds(boost: GBTRegressor, train: DataFrame, late: DataFrame | None, patience: int = PATIENCE) -> GBTRegressionModel:
+    """Fit on ``train`` and keep the rounds that serve the rows of ``late`` best (none: all rounds)."""
+    model = boost.fit(train)
+    if late is None:
+        return model
+    return first_trees(model, best_round(model.evaluateEachIteration(late, boost.getLossType()), patience))
+
+
 def fit_with_validation(boost: GBTRegressor, train: DataFrame, features: list[str], date: str = "date",
                         patience: int = PATIENCE) -> PipelineModel:
     """Fit before the last 30 training days and keep the rounds that serve those days best.
@@ -113,13 +123,22 @@ def fit_with_validation(boost: GBTRegressor, train: DataFrame, features: list[st
     vectors = assembler(features)
     keep = ["features", boost.getLabelCol(), "is_validation", *([boost.getWeightCol()] if boost.isSet("weightCol") else [])]
     marked = materialize(vectors.transform(validation_cut(train, 30, date=date)).select(*keep), "boosted_train")
-    model = boost.fit(marked.where("not is_validation"))
     late = marked.where("is_validation")
-    if late.limit(1).count():
-        model = first_trees(model, best_round(model.evaluateEachIteration(late, boost.getLossType()), patience))
+    model = fit_rounds(boost, marked.where("not is_validation"), late if late.limit(1).count() else None, patience)
     return PipelineModel(stages=[vectors, model])
 
 
+def cut_date(daily: dict[dt.date, int], fold: Fold, days: int = 30, min_rows: int = 50) -> dt.date | None:
+    """Day after which a fold's training rows validate, by the rule of ``validation_cut``."""
+    first, last = (dt.date.fromisoformat(str(d)) for d in fold[1:3])
+    inside = {d: n for d, n in daily.items() if d is not None and first <= d <= last}
+    if not inside:
+        return None
+    cut = max(inside) - dt.timedelta(days=days)
+    late = sum(n for d, n in inside.items() if d > cut)
+    return cut if late >= min_rows and late < sum(inside.values()) else None
+
+
 # --- medium segment ----------------------------------------------------------------------
 
 
@@ -256,12 +275,16 @@ def boosted_oof(df: DataFrame, folds: list[Fold], loss: str = "squared", iterati
     mapping = materialize(fit_label(prepared, text), "codes")
     coded = materialize(apply_label(prepared, mapping, text), "boosted_codes")
     widest = mapping.groupBy("feature").count().agg(F.max("count")).first()[0] or 2
+    # One table of vectors serves all folds; a fold is a range of its dates.
+    vectors = materialize(assembler(features).transform(nominal(coded, mapping, text)).select(
+        *IDS, "date", F.col(y).cast("double").alias(y), "features"), "boosted_vectors")
+    daily = {r["date"]: r["count"] for r in vectors.groupBy("date").count().collect()}  # a row per day
     parts = []
     for fold in folds:
-        train = nominal(train_rows(coded, fold).withColumn("fold", F.lit(fold[0])), mapping, text)
         boost = GBTRegressor(labelCol=y, lossType=loss, maxIter=iterations, maxDepth=depth, stepSize=step,
                              maxBins=max(32, widest), seed=seed)
-        model = fit_with_validation(boost, train, features)
-        scored = model.transform(nominal(test_rows(coded, fold), mapping, text))
-        parts.append(predictions(scored, fold[0], F.col("prediction"), y))
+        train, cut = train_rows(vectors, fold), cut_date(daily, fold)
+        late = None if cut is None else train.where(F.col("date") > F.lit(cut))
+        model = fit_rounds(boost, train if cut is None else train.where(F.col("date") <= F.lit(cut)), late)
+        parts.append(predictions(model.transform(test_rows(vectors, fold)), fold[0], F.col("prediction"), y))
     return union(parts)

@@ -95,7 +95,7 @@ def _(spark, sf):
 @query("m10_boosted_oof")
 def _(spark, sf):
     table = model_table(spark, sf)
-    oof = trees.boosted_oof(table, FOLDS, iterations=20, depth=6, step=0.1)
+    oof = trees.boosted_oof(table, FOLDS, iterations=12, depth=6, step=0.15)
     return round_all(reports.boosted_fold_report(materialize(oof, "boosted_oof"), table, FOLDS))
 
 
