@@ -9,7 +9,8 @@ its frequency, so frequent ones make no hot key, and blocks need a third of the
 Score of a word: count(n-gram) / count(its context) for the longest n-gram that the table
 holds, times ``ALPHA`` for each order given up; for the word alone count / words of the corpus.
 N-grams of two words or more that occur once are not in the table: a text's own words would
-vouch for themselves.
+vouch for themselves. An n-gram that is in the table has both its shorter parts there, so beyond
+two words a chunk sends only n-grams whose parts came back as frequent; no count is lost.
 
 Cases: a null or empty text has 0 words, log score 0 and no mean; null ids and repeated rows are
 scored each, and repeated texts count each time; other columns are ignored; an empty table gives
@@ -19,10 +20,14 @@ an empty result. Texts of any length are scored whole.
 from __future__ import annotations
 
 import math
+import struct
+import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,25 +35,28 @@ ORDER = 3
 ALPHA = 0.4
 LEAST_COUNT = 2
 # Characters of text in a chunk and n-grams sent to a shard, on average.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 3_000_000
 SHARD_ENTRIES = 500_000
+# Bits of a hash beyond those that count the corpus's n-grams: one n-gram in 2^25 shares its hash.
+SPARE_BITS = 25
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                    dtype=np.uint64)
 
 
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
 def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of all texts in order, number of words of each text)."""
-    known: dict[bytes, int] = {}
-    found, sizes = [], []
+    known, found, sizes = WordHashes(), [], []
     for text in texts:
         words = (text or b"").lower().split()  # on bytes both know ASCII only
         sizes.append(len(words))
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            found.append(h)
-    return np.array(found, dtype=np.uint64), np.array(sizes, dtype=np.int64)
+        found.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words)))
+    return np.concatenate([np.empty(0, np.uint64), *found]), np.array(sizes, dtype=np.int64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -59,8 +67,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def ngrams(words: np.ndarray, sizes: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order (places of the last words, hashes), without n-grams across texts."""
+def ngrams(words: np.ndarray, sizes: np.ndarray, order: int, bits: int = 64) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order (places of the last words, hashes of so many bits), without n-grams across texts."""
     doc = np.repeat(np.arange(len(sizes)), sizes)
     out = [(np.arange(len(words)), mixed(words + np.uint64(1)))]
     for n in range(2, order + 1):
@@ -70,61 +78,56 @@ def ngrams(words: np.ndarray, sizes: np.ndarray, order: int) -> list[tuple[np.nd
         for k in range(n):
             h = mixed(h * FACTORS[0] + words[last - (n - 1) + k] * FACTORS[1])
         out.append((last, h))
-    return out
+    return [(last, h >> np.uint64(64 - bits)) for last, h in out]
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as byte planes, no more of them than the largest needs."""
+def pack(values: np.ndarray, coded: int = 8) -> bytes:
+    """Numbers as byte planes, no more of them than the largest needs; the highest ``coded`` planes,
+    whose bytes repeat, are compressed."""
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + planes.T.tobytes()
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    plain = max(width - coded, 0)
+    head = struct.pack("<BBI", width, plain, len(values))
+    return head + planes[:plain].tobytes() + zlib.compress(planes[plain:].tobytes(), 1)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
-    wide = np.zeros((planes.shape[1], 8), np.uint8)
-    wide[:, :data[0]] = planes.T
+    width, plain, n = struct.unpack_from("<BBI", data)
+    start = struct.calcsize("<BBI")
+    planes = data[start:start + plain * n] + zlib.decompress(data[start + plain * n:])
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
     return wide.view("<u8").ravel()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=np.uint64(0)))
+    """Steps between sorted numbers: their low bytes are noise, their highest ones repeat."""
+    return pack(np.diff(values, prepend=np.uint64(0)), coded=1)
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
-def bounds(hashes: np.ndarray, shards: int) -> np.ndarray:
+def bounds(hashes: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
     """Where each shard's range of the sorted hashes begins, and the end."""
-    edges = np.array([(k << 64) // shards for k in range(1, shards)], dtype=np.uint64)
+    edges = np.array([(k << bits) // shards for k in range(1, shards)], dtype=np.uint64)
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
 
 
-def scores(words: np.ndarray, grams: list, inverse: np.ndarray, counts: np.ndarray, total: int) -> np.ndarray:
-    """Log score of every word; ``counts`` belongs to the n-grams that ``inverse`` points to."""
-    by_order, at = [], 0
-    for last, _ in grams:
-        full = np.zeros(len(words))
-        full[last] = counts[inverse[at:at + len(last)]]
-        by_order.append(full)
-        at += len(last)
-    out = np.zeros(len(words))
-    done = np.zeros(len(words), dtype=bool)
-    given_up = np.zeros(len(words))
-    for n in range(len(grams), 0, -1):
-        own = by_order[n - 1]
-        if n == 1:
-            out = np.where(done, out, np.log(np.maximum(own, 1) / total) + given_up)
-            break
-        exists = np.zeros(len(words), dtype=bool)
+def scores(grams: list, by_order: list[np.ndarray], total: int) -> np.ndarray:
+    """Log score of every word from its counts of all orders."""
+    n_words = len(by_order[0])
+    out, given_up, done = np.zeros(n_words), np.zeros(n_words), np.zeros(n_words, dtype=bool)
+    for n in range(len(grams), 1, -1):
+        own, context = by_order[n - 1], np.concatenate([[1.0], by_order[n - 2][:-1]])
+        exists = np.zeros(n_words, dtype=bool)
         exists[grams[n - 1][0]] = True
-        context = np.concatenate([[1.0], by_order[n - 2][:-1]])
         use = ~done & (own >= LEAST_COUNT)
         out = np.where(use, np.log(np.where(use, own, 1.0) / np.where(use, context, 1.0)) + given_up, out)
         done |= use
         given_up = given_up + np.where(exists & ~done, math.log(ALPHA), 0.0)
-    return out
+    return np.where(done, out, np.log(np.maximum(by_order[0], 1) / max(total, 1)) + given_up)
 
 
 def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,48 +137,102 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
     size = docs.agg(F.sum(words.cast("long")).alias("words"), F.sum(F.octet_length(f"`{text}`")).alias("bytes")).first()
     total, n_chunks = size["words"] or 0, 1 + (size["bytes"] or 0) // CHUNK_CHARS
     shards = 1 + total * order // SHARD_ENTRIES
+    bits = min(64, (total * order).bit_length() + SPARE_BITS)
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)))
     id_kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def exploded(texts: list):
-        words, sizes = word_hashes(texts)
-        grams = ngrams(words, sizes, order)
-        hashes = np.concatenate([h for _, h in grams])
-        return words, sizes, grams, hashes
+    def shrink(batches):
+        """Texts cross the network once and are read by every step; they take 0.43 of their size."""
+        small = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [None if t is None else small.compress(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()), batch.column(2)],
+                                             names=["doc_id", "text", "chunk"])
 
-    def ask(chunk: pa.Table) -> pa.Table:
-        hashes, counts = np.unique(exploded(chunk.column("text").to_pylist())[3], return_counts=True)
-        edges = bounds(hashes, shards)
+    dealt = dealt.mapInArrow(shrink, f"doc_id {id_kind}, text binary, chunk long")
+
+    def exploded(texts: list) -> tuple:
+        whole = zstandard.ZstdDecompressor()
+        words, sizes = word_hashes([None if t is None else whole.decompress(t) for t in texts])
+        return words, sizes, ngrams(words, sizes, order, bits)
+
+    def requests(chunk, hashes: np.ndarray) -> pa.Table:
+        hashes, counts = np.unique(hashes, return_counts=True)
+        edges = bounds(hashes, shards, bits)
         used = [k for k in range(shards) if edges[k + 1] > edges[k]]
         return pa.table({
-            "shard": pa.array(used, pa.int64()), "chunk": pa.array([chunk.column("chunk")[0].as_py()] * len(used), pa.int64()),
+            "shard": pa.array(used, pa.int64()), "chunk": pa.array([chunk] * len(used), pa.int64()),
             "hashes": pa.array([pack_sorted(hashes[edges[k]:edges[k + 1]]) for k in used], pa.binary()),
             "counts": pa.array([pack(counts[edges[k]:edges[k + 1]]) for k in used], pa.binary())})
 
-    def answer(shard: pa.Table) -> pa.Table:
+    def counts_of(hashes: list[np.ndarray], replies: pa.Table, name: str) -> list[np.ndarray]:
+        """Corpus counts of the n-grams that were asked for, in their places."""
+        known, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        by_shard = sorted((s, c) for s, k, c in zip(*(replies.column(x).to_pylist() for x in ("shard", "kind", "counts"))) if k == name)
+        counts = np.concatenate([np.empty(0, np.uint64), *[unpack(c) for _, c in by_shard]]).astype(float)
+        return np.split(counts[place], np.cumsum([len(h) for h in hashes])[:-1])
+
+    def known_counts(words: np.ndarray, grams: list, replies: pa.Table, upto: int) -> list[np.ndarray]:
+        """Corpus counts at every word, for orders 1 to ``upto``; 0 where the table has none."""
+        out = []
+        for (last, _), c in zip(grams, counts_of([h for _, h in grams[:2]], replies, "2")):
+            out.append(np.zeros(len(words)))
+            out[-1][last] = c
+        for n in range(3, upto + 1):
+            last, hashes = worth_asking(grams, out, n)
+            out.append(np.zeros(len(words)))
+            out[-1][last] = counts_of([hashes], replies, str(n))[0]
+        return out
+
+    def worth_asking(grams: list, counts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """n-grams whose first and last n - 1 words are frequent."""
+        last, hashes = grams[n - 1]
+        part = counts[n - 2]
+        use = (part[last] >= LEAST_COUNT) & (part[last - 1] >= LEAST_COUNT)
+        return last[use], hashes[use]
+
+    def ask(chunk: pa.Table) -> pa.Table:
+        _, _, grams = exploded(chunk.column("text").to_pylist())
+        return requests(chunk.column("chunk")[0].as_py(), np.concatenate([h for _, h in grams[:2]]))
+
+    def ask_longer(n: int) -> Callable:
+        def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
+            words, _, grams = exploded(chunk.column("text").to_pylist())
+            wanted = worth_asking(grams, known_counts(words, grams, replies, n - 1), n)[1]
+            return requests(chunk.column("chunk")[0].as_py(), wanted)
+
+        return run
+
+    def answer(shard: pa.Table, name: str) -> pa.Table:
         asked = [unpack_sorted(x) for x in shard.column("hashes").to_pylist()]
         known, place = np.unique(np.concatenate(asked), return_inverse=True)
         counts = np.concatenate([unpack(x) for x in shard.column("counts").to_pylist()])
         sums = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
         parts = np.split(sums[place], np.cumsum([len(x) for x in asked])[:-1])
         return pa.table({"chunk": shard.column("chunk"), "shard": shard.column("shard"),
-                         "counts": pa.array([pack(x) for x in parts], pa.binary())})
+                         "kind": pa.array([name] * shard.num_rows), "counts": pa.array([pack(x) for x in parts], pa.binary())})
 
     def add_up(chunk: pa.Table, replies: pa.Table) -> pa.Table:
-        words, sizes, grams, hashes = exploded(chunk.column("text").to_pylist())
-        _, inverse = np.unique(hashes, return_inverse=True)
-        by_shard = sorted(zip(replies.column("shard").to_pylist(), replies.column("counts").to_pylist()))
-        counts = np.concatenate([np.empty(0, np.uint64), *[unpack(x) for _, x in by_shard]]).astype(float)
-        each = scores(words, grams, inverse, counts, total)
+        words, sizes, grams = exploded(chunk.column("text").to_pylist())
+        each = scores(grams, known_counts(words, grams, replies, order), total)
         sums = np.add.reduceat(np.concatenate([each, [0.0]]), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
         sums = np.where(sizes > 0, sums, 0.0)
         mean = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]
         return pa.table({"doc_id": chunk.column("doc_id"), "n_words": pa.array(sizes), "log_score": pa.array(sums),
                          "mean_log_score": pa.array(mean, pa.float64())})
 
-    asked = dealt.groupBy("chunk").applyInArrow(ask, "shard long, chunk long, hashes binary, counts binary")
-    answered = asked.groupBy("shard").applyInArrow(answer, "chunk long, shard long, counts binary")
-    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
+    asked_kind = "shard long, chunk long, hashes binary, counts binary"
+    reply_kind = "chunk long, shard long, kind string, counts binary"
+
+    def answers(asked: DataFrame, name: str) -> DataFrame:
+        return asked.groupBy("shard").applyInArrow(lambda shard: answer(shard, name), reply_kind)
+
+    chunks = dealt.groupBy("chunk")
+    replies = answers(chunks.applyInArrow(ask, asked_kind), "2")
+    for n in range(3, order + 1):
+        longer = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(ask_longer(n), asked_kind)
+        replies = replies.unionByName(answers(longer, str(n)))
+    return chunks.cogroup(replies.groupBy("chunk")).applyInArrow(
         add_up, f"doc_id {id_kind}, n_words long, log_score double, mean_log_score double")
 
 
