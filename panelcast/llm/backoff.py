@@ -39,8 +39,8 @@ CHUNK_CHARS = 3_000_000
 SHARD_ENTRIES = 500_000
 # Bits of a hash beyond those that count the corpus's n-grams: one n-gram in 2^25 shares its hash.
 SPARE_BITS = 25
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
-                   dtype=np.uint64)
+# Odd multipliers, one for each place in an n-gram of up to 64 words.
+FACTORS = np.random.default_rng(17).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class WordHashes(dict):
@@ -76,8 +76,8 @@ def ngrams(words: np.ndarray, sizes: np.ndarray, order: int, bits: int = 64) ->
         last = last[doc[last] == doc[last - (n - 1)]]
         h = np.full(len(last), n, dtype=np.uint64)
         for k in range(n):
-            h = mixed(h * FACTORS[0] + words[last - (n - 1) + k] * FACTORS[1])
-        out.append((last, h))
+            h += words[last - k] * FACTORS[k]
+        out.append((last, mixed(h)))
     return [(last, h >> np.uint64(64 - bits)) for last, h in out]
 
 
@@ -151,7 +151,7 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
 
     dealt = dealt.mapInArrow(shrink, f"doc_id {id_kind}, text binary, chunk long")
 
-    def exploded(texts: list) -> tuple:
+    def exploded(texts: list, order: int) -> tuple:
         whole = zstandard.ZstdDecompressor()
         words, sizes = word_hashes([None if t is None else whole.decompress(t) for t in texts])
         return words, sizes, ngrams(words, sizes, order, bits)
@@ -192,12 +192,12 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
         return last[use], hashes[use]
 
     def ask(chunk: pa.Table) -> pa.Table:
-        _, _, grams = exploded(chunk.column("text").to_pylist())
-        return requests(chunk.column("chunk")[0].as_py(), np.concatenate([h for _, h in grams[:2]]))
+        _, _, grams = exploded(chunk.column("text").to_pylist(), min(order, 2))
+        return requests(chunk.column("chunk")[0].as_py(), np.concatenate([h for _, h in grams]))
 
     def ask_longer(n: int) -> Callable:
         def run(chunk: pa.Table, replies: pa.Table) -> pa.Table:
-            words, _, grams = exploded(chunk.column("text").to_pylist())
+            words, _, grams = exploded(chunk.column("text").to_pylist(), n)
             wanted = worth_asking(grams, known_counts(words, grams, replies, n - 1), n)[1]
             return requests(chunk.column("chunk")[0].as_py(), wanted)
 
@@ -213,7 +213,7 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
                          "kind": pa.array([name] * shard.num_rows), "counts": pa.array([pack(x) for x in parts], pa.binary())})
 
     def add_up(chunk: pa.Table, replies: pa.Table) -> pa.Table:
-        words, sizes, grams = exploded(chunk.column("text").to_pylist())
+        words, sizes, grams = exploded(chunk.column("text").to_pylist(), order)
         each = scores(grams, known_counts(words, grams, replies, order), total)
         sums = np.add.reduceat(np.concatenate([each, [0.0]]), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
         sums = np.where(sizes > 0, sums, 0.0)
