@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.linear import cross_products
 from panelcast.operators.windows import holdout_last
-from panelcast.session import materialize
+from panelcast.session import materialize, spread
 
 # Number and range of trend bends, wave orders and periods, prior widths.
 BENDS, BEND_RANGE = 25, 0.8
@@ -101,7 +101,7 @@ def solve_family(rows: pd.DataFrame) -> pd.DataFrame:
 def fit(train: DataFrame, scales: DataFrame) -> DataFrame:
     """(family, beta, sigma) on the scaled target; SIZE+1 rows reach each solve."""
     rows = design(train, scales).select(*KEY, F.concat("x", F.array("z")).alias("x"))
-    return cross_products(rows, KEY, SIZE + 1).groupBy(*KEY).applyInPandas(
+    return spread(cross_products(rows, KEY, SIZE + 1), KEY).groupBy(*KEY).applyInPandas(
         solve_family, "family string, beta array<double>, sigma double"
     )
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.linear import group_stats, grouped_ols, least_norm, moments, predict, square
 from panelcast.operators.windows import holdout_last
-from panelcast.session import materialize
+from panelcast.session import materialize, spread
 
 # Season length, largest orders, default order, regressors, band quantile.
 SEASON = 7
@@ -152,7 +152,7 @@ def candidates(design: DataFrame) -> DataFrame:
                                 float(mean_y - full @ mean_x), float(np.sqrt(sse / max(n - k, 1)))))
             yield pd.DataFrame(out, columns=["family", "p", "q", "sp", "sq", "aic", "coefs", "intercept", "sigma"])
 
-    return reduced.mapInPandas(
+    return spread(reduced, KEY).mapInPandas(
         fit, "family string, p int, q int, sp int, sq int, aic double, coefs array<double>, intercept double, sigma double"
     )
 
@@ -283,7 +283,7 @@ def seasonal_arx(daily: DataFrame, horizon: int = 90) -> tuple[DataFrame, DataFr
     rows = tail.select(*KEY, "date", "is_test", "sales", "w", "e", *DX).join(
         plan.select(*KEY, "d", "sd", "coefs", "intercept", "sigma"), KEY
     )
-    forecast = rows.groupBy(*KEY).applyInPandas(
+    forecast = spread(rows, KEY).groupBy(*KEY).applyInPandas(
         forecast_family, "family string, date date, y_true double, y_pred double, lower double, upper double"
     )
     return forecast, orders

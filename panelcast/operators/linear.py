@@ -27,7 +27,7 @@ from panelcast.operators.features import (
 from panelcast.operators.folds import Fold, assign_folds
 from panelcast.operators.joins import in_segment
 from panelcast.operators.quantiles import exact_quantile, exact_quantiles
-from panelcast.session import materialize
+from panelcast.session import materialize, spread
 
 # Candidate features of the per-family models, penalties and cut-offs.
 CANDIDATES = [
@@ -197,7 +197,7 @@ def grouped_ols(df: DataFrame, by: list[str], features: list[str], y: str = "sal
             yield batch.drop(columns="product").assign(coefs=coefs, intercept=intercepts)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields)
-    return reduced.mapInPandas(solve, f"{fields}, coefs array<double>, intercept double")
+    return spread(reduced, by).mapInPandas(solve, f"{fields}, coefs array<double>, intercept double")
 
 
 # Terms added up one after the other.
@@ -430,7 +430,7 @@ def grouped_lasso(df: DataFrame, by: list[str], features: list[str], y: str = "s
         return out[out["coef"].abs() > KEPT_ABOVE]
 
     # One row per fold and group reaches the function.
-    return parts.groupBy(*by).applyInPandas(
+    return spread(parts, by).groupBy(*by).applyInPandas(
         fit, f"{schema}, feature string, coef_scaled double, coef double, alpha double"
     )
 

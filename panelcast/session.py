@@ -58,3 +58,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows dealt by key over as many tasks as the session shuffles to.
+
+    For few rows that each take long, such as a system to solve per group: they weigh so
+    little that the adaptive planner would put them all into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
