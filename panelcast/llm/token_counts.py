@@ -28,15 +28,18 @@ TASK_SENDS = 4_096
 
 
 def frequent_pieces(docs: DataFrame, text: str = "text") -> list[str]:
-    """The corpus's most frequent pieces, from every text; rarer ones may be missed."""
+    """The corpus's most frequent plain pieces, from every text; rarer ones may be missed."""
 
     def summary(batches):
         seen: Counter = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                if value and PLAIN.fullmatch(value):
-                    runs = BYTE_RUNS.findall(value)
-                    if max(map(len, runs)) > LONGEST_CACHED:
+                plain = [value or ""]
+                if not PLAIN.fullmatch(plain[0]):
+                    plain = filter(PLAIN.fullmatch, BYTE_PIECES.findall(value))
+                for part in plain:
+                    runs = BYTE_RUNS.findall(part)
+                    if max(map(len, runs), default=0) > LONGEST_CACHED:
                         runs = [r for r in runs if len(r) <= LONGEST_CACHED]
                     seen.update(runs)
                 if len(seen) > 8 * TASK_KEEPS:

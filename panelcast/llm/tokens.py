@@ -1,9 +1,10 @@
 """Token ids and token counts that equal those of the ``tokenizers`` library.
 
-Both vocabularies work on pieces of a text that never reach past white space in a way that
-changes ids, so a text is cut into pieces and each different piece is encoded once per
-worker. Texts that hold one of the vocabulary's special strings are encoded whole by the
-library, because such a string also cuts the white space around it.
+Both vocabularies encode a text in parts that do not depend on each other, so a text is cut
+into parts and a worker encodes each different part once. Texts of plain letters, figures and
+signs are cut as the vocabulary itself cuts them; other texts are cut at white space, and what
+is not plain goes through the library. Texts that hold one of the vocabulary's special strings
+are encoded whole by the library, because such a string also cuts the white space around it.
 """
 
 from __future__ import annotations
