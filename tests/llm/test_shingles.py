@@ -1,0 +1,60 @@
+"""Near copies against brute force over five-word shingles."""
+
+import random
+
+import pytest
+from helpers import docs, rows
+
+from panelcast.llm import shingles, simhash
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+def plain_kept(texts):
+    """Ids that are the least of their component over pairs of similarity 0.8."""
+    found = [plain_set(t) for _, t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(found[i] & found[j]) >= 4 * len(found[i] | found[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return sorted(texts[i][0] for i in set(root))
+
+
+def edited(draw, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        out[draw.randrange(len(out))] = f"e{draw.randrange(10 ** 9)}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("limit", [64, 3, 0])
+def test_classes_equal_brute_force(spark, limit):
+    """Families of edited texts, some with a passage of all in them."""
+    draw = random.Random(6)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for family in range(8):
+        base = [f"w{draw.randrange(3000)}" for _ in range(draw.choice([40, 100, 200]))] + passage * (family % 2)
+        texts += [edited(draw, base, draw.randrange(1 + len(base) // 30)) for _ in range(9)]
+    table = [(i, t) for i, t in enumerate([*texts, "", None, "two words", "Two  words"])]
+    kept = plain_kept(table)
+    assert 12 < len(kept) < 60
+    got = shingles.near_copies(docs(spark, table), "doc_id", "text", limit).where("key = least").select("key").collect()
+    assert sorted(r.key for r in got) == kept
+
+
+def test_copies_many_bits_apart_go(spark):
+    """Pairs of similarity 0.8 that differ in more than two bits of the fingerprint."""
+    draw = random.Random(8)
+    texts = []
+    for i in range(0, 40, 2):
+        base = [f"w{draw.randrange(10 ** 6)}" for _ in range(150)]
+        texts += [(i, " ".join(base)), (i + 1, edited(draw, base, 2))]
+    prints = [simhash.fingerprint(t.encode()) for _, t in texts]
+    assert any((a ^ b).bit_count() > 2 for a, b in zip(prints[::2], prints[1::2]))
+    assert rows(simhash.deduplicate(docs(spark, texts)), "doc_id") == [(i,) for i in sorted(range(0, 40, 2), key=lambda i: repr((i,)))]
