@@ -5,8 +5,9 @@ and merge by aggregation, so a line on every page of the corpus costs one sketch
 Where the estimate is near the threshold the sites are counted exactly; far from it the
 estimate decides. Lines at the threshold or above are removed from every document.
 
-A document that would lose more than ``MAX_LOSS`` of its characters is left whole: it is a copy
-of a spread text and not a page with boilerplate, and near-duplicate removal decides on it.
+``clean`` leaves a document whole that would lose more than ``MAX_LOSS`` of its characters, as its
+SQL twin does. ``deduplicate`` cuts common lines wherever they stand and leaves only texts
+whole that have no other line: they are copies, and near-duplicate removal decides on them.
 
 Cases: a null text is read as empty; blank lines are never removed; a null site adds nothing
 to the spread; null ids and repeated rows are treated like any other; other columns are
@@ -55,8 +56,11 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
-          min_sites: int = MIN_SITES, max_loss: float = MAX_LOSS) -> DataFrame:
-    """(doc_id, text, n_lines, n_removed) of every row of ``docs``; n_lines counts lines with text."""
+          min_sites: int = MIN_SITES, max_loss: float | None = MAX_LOSS) -> DataFrame:
+    """(doc_id, text, n_lines, n_removed) of every row of ``docs``; n_lines counts lines with text.
+
+    Without ``max_loss`` only texts are left whole all of whose lines are common.
+    """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"),
                        F.col(f"`{site}`").cast("string").alias("site"))
     placed = rows.select("doc_id", "site", F.xxhash64("text").alias("body"),
@@ -71,9 +75,10 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str
             .agg(F.collect_list("at").alias("hits"), F.sum("chars").alias("lost")))
     d, h = rows.withColumn("body", F.xxhash64("text")).alias("d"), hits.alias("h")
     joined = d.join(h, F.col("d.body").eqNullSafe(F.col("h.body")) & F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left")
-    cut = F.col("h.hits").isNotNull() & (F.col("lost") <= max_loss * visible(F.col("text")))
-    rest = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("hits", i))
     n_lines = F.size(F.filter(F.split("text", "\n"), lambda line: bare(line) != ""))
+    spared = F.size("hits") == n_lines if max_loss is None else F.col("lost") > max_loss * visible(F.col("text"))
+    cut = F.col("h.hits").isNotNull() & ~spared
+    rest = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("hits", i))
     return joined.select(
         "d.doc_id", F.when(cut, F.array_join(rest, "\n")).otherwise(F.col("text")).alias("text"),
         n_lines.cast("long").alias("n_lines"),
@@ -84,7 +89,7 @@ def deduplicate(docs: DataFrame, text: str = "text", site: str = "source", min_s
     """``docs`` with the common lines cut from ``text``; rows and other columns stay."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
                        F.col(f"`{text}`").alias("text"), F.col(f"`{site}`").alias("site"))
-    done = clean(rows, "row", "text", "site", min_sites)
+    done = clean(rows, "row", "text", "site", min_sites, max_loss=None)
     return done.select(*[F.col("text") if c == text else F.col(f"doc_id.`{c}`").alias(c) for c in docs.columns])
 
 

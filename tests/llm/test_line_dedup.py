@@ -66,6 +66,14 @@ def test_deduplicate_keeps_columns(spark):
     assert rows(got, "doc_id", "text", "source", "hits") == [(i, body(i), f"s{i}", "clash") for i in range(6)]
 
 
+def test_deduplicate_cuts_common_lines_from_short_pages(spark):
+    """Most of the page is boilerplate; only a text of nothing else is left whole."""
+    common = "\n".join(f"a long line of the site's frame, number {k}, that stands on every page" for k in range(4))
+    texts = [(i, f"{common}\nown {i}", f"s{i}") for i in range(6)] + [(6, common, "s6")]
+    got = rows(line_dedup.deduplicate(docs(spark, texts)), "doc_id", "text")
+    assert got == [(i, f"own {i}") for i in range(6)] + [(6, common)]
+
+
 def test_corpus_equals_sql(spark):
     folder = "/root/testdata/sf0.01"
     from panelcast.llm.queries import ORACLES, QUERIES
