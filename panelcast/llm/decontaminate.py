@@ -10,13 +10,14 @@ The benchmark is read in blocks of a bounded number of words. A block's seeds ar
 tasks, so texts are never shuffled; a larger benchmark means more blocks, not larger ones.
 
 Cases: null and empty texts and items have no leak; items with fewer than ``MIN_ITEM`` words
-are not searched, items shorter than a mask are searched whole; repeated rows and items are
+are not searched, items up to ``SHORT_ITEM`` words have masks of their own length; repeated rows and items are
 reported each; null ids are reported as null; other columns are ignored; empty tables give no
 leaks. Texts of any length are searched whole.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,8 @@ WORD = re.compile(r"[^\W_]+")
 # words one of them still matches somewhere, and after nearly any three.
 MASKS = ("100011101001", "110010011001", "101001110001", "101000010111")
 SPAN = 12
+# Items up to so many words get masks of their own length as well.
+SHORT_ITEM = 14
 MIN_ITEM = 8
 # Enough matches: this many words, or this share of a shorter item.
 MIN_MATCH = 13
@@ -62,7 +65,7 @@ def words_of(text: str | None, hashes: WordHashes) -> np.ndarray:
 
 def multipliers() -> np.ndarray:
     draw = np.random.default_rng(11)
-    return draw.integers(1, 2**63, size=SPAN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return draw.integers(1, 2**63, size=max(SPAN, SHORT_ITEM), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -84,11 +87,27 @@ def seeds(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return mixed(total)
 
 
+def needed(n_words: int) -> int:
+    """Matching words that make a leak of an item of so many words."""
+    return int(min(MIN_MATCH, -(-n_words * ITEM_SHARE // 1)))
+
+
+def short_masks(n_words: int) -> list[str]:
+    """Masks of an item's own length; after any allowed substitutions one still matches.
+
+    Positions are dealt over two groups more than substitutions; each mask ignores as many
+    groups as there are substitutions.
+    """
+    n = n_words - needed(n_words)
+    return ["".join("0" if at % (n + 2) in out else "1" for at in range(n_words))
+            for out in itertools.combinations(range(n + 2), n)]
+
+
 def masks_of(n_words: int) -> list[tuple[int, str]]:
     """(salt, mask) that serve an item of so many words."""
-    if n_words >= SPAN:
-        return list(enumerate(MASKS, 1))
-    return [(100 + n_words, "1" * n_words)] if n_words >= MIN_ITEM else []
+    long = list(enumerate(MASKS, 1)) if n_words >= SPAN else []
+    short = short_masks(n_words) if MIN_ITEM <= n_words <= SHORT_ITEM else []
+    return long + list(enumerate(short, 100 * n_words))
 
 
 @dataclass
@@ -151,7 +170,7 @@ class Block:
             start = place - (int(ends[k]) - len(text))
             a, b = max(0, -start), min(len(own), len(text) - start)
             matches, first = stretch(own[a:b] == text[start + a:start + b])
-            if matches >= min(MIN_MATCH, -(-len(own) * ITEM_SHARE // 1)) and matches > best[k].get(item, (0, 0))[0]:
+            if matches >= needed(len(own)) and matches > best[k].get(item, (0, 0))[0]:
                 best[k][item] = (matches, start + a + first)
         return best
 

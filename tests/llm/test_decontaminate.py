@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from helpers import ODD, clashing, docs, rows
 
@@ -30,6 +31,20 @@ def test_any_two_substitutions_in_fifteen_words_leave_a_seed():
                    for mask in D.MASKS for at in range(15 - D.SPAN + 1))
 
 
+@pytest.mark.parametrize("n", range(8, 15))
+def test_short_items_are_hit_after_every_allowed_substitution(n):
+    """All placements; what is reported is then up to the stretch."""
+    words = noise(n, n).split()
+    block, hashes = D.Block.of([(1, " ".join(words))]), D.WordHashes()
+    for places in itertools.combinations(range(n), n - D.needed(n)):
+        changed = ["zz" if k in places else w for k, w in enumerate(words)]
+        text = D.words_of(" ".join(["x", "y", *changed, "z"]), hashes)
+        assert [0, 0, 2] in block.hits(text, np.array([len(text)])).tolist()
+        own = D.words_of(" ".join(words), hashes)
+        best = D.stretch(own == text[2:2 + n])[0]
+        assert bool(block.leaks([text])[0]) == (best >= D.needed(n))
+
+
 def test_passages_with_replaced_words(spark):
     words = ITEM.split()
     texts = [(1, ITEM), (2, f"{noise(50, 1)} {ITEM.upper()}! {noise(50, 2)}"), (3, noise(400, 3)), (4, " ".join(words[:6]))]
