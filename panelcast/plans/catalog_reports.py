@@ -382,6 +382,15 @@ def _(spark, sf):
     return round_all(table.withColumn("MAPE", F.round("MAPE", 0)))
 
 
+@query("r12_quantile_fold_report_all_folds", sql_rounded(f"""
+SELECT folds.fold, 'ALL' AS segment, m.* EXCLUDE (fold) FROM folds LEFT JOIN (
+  SELECT fold, {_quantile_sql(R2_C)} FROM q GROUP BY fold) m ON folds.fold = m.fold""",
+                                                         QUANTILE_COLS, ctes=QUANTILES))
+def _(spark, sf):
+    table = reports.quantile_fold_report(stand_in_quantiles(spark, sf), FOLDS)
+    return round_all(table.withColumn("MAPE", F.round("MAPE", 0)))
+
+
 @query("r13_quantile_family_report", sql_rounded(f"""
 SELECT family AS family_name, {_quantile_sql(f"CASE WHEN {CONSTANT} THEN NULL ELSE {R2_SQL} END")}, avg(y_true) AS mean_sale,
        CASE WHEN avg(y_true) > 0 THEN avg(abs(y_true - q50)) / avg(y_true) END AS WAPE, segment
