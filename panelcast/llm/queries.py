@@ -12,6 +12,7 @@ from panelcast.llm import (
     kneser_ney,
     line_dedup,
     packing,
+    periodic,
     quality_rules,
     simhash,
     token_counts,
@@ -89,3 +90,9 @@ def _(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     counts = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op11_periodic_runs")
+def _(spark, sf_dir):
+    texts = periodic.plant(read_table(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.periodic_runs(texts))
