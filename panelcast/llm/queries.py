@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import (
     backoff,
+    byte_pairs,
     decontaminate,
     html_extract,
     kneser_ney,
     line_dedup,
+    merkle,
     packing,
     periodic,
     quality_rules,
@@ -96,3 +98,14 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     texts = periodic.plant(read_table(spark, sf_dir, "documents"))
     return periodic.digests(periodic.periodic_runs(texts))
+
+
+@query("op12_byte_bpe")
+def _(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_pairs.digests(byte_pairs.round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
+
+
+@query("op13_merkle_manifest", merkle.ORACLE)
+def _(spark, sf_dir):
+    return merkle.verified_documents(read_table(spark, sf_dir, "documents"))
