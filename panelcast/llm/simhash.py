@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.components import components
-from panelcast.llm.shingles import near_copies
 from panelcast.llm.tables import Written
 
 SHINGLE = 3
@@ -152,15 +151,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with its smallest id.
 
-    The two bits of the contract find exact and almost exact copies only, so the classes are
-    those of ``shingles``: five-word shingles of similarity 0.8. Rows that share the smallest id
-    are kept together only if they are equal in id and text, and then once. A class whose ids
-    are all null keeps its smallest text.
+    Classes are those of ``near_duplicates``. Rows that share the smallest id are kept together
+    only if they are equal in id and text, and then once. A class whose ids are all null keeps the
+    text of smallest hash. Other columns stay, whatever their names and types.
     """
-    classes = near_copies(docs.select(F.struct(
+    classes = near_duplicates(docs.select(F.struct(
         F.col(f"`{doc_id}`").isNull().alias("no_id"), F.col(f"`{doc_id}`").alias("id"),
         F.xxhash64(f"`{text}`").alias("hash")).alias("key"), F.col(f"`{text}`").alias("text")), "key", "text")
-    first = Written(classes.where("key = least").groupBy("key.id", "key.hash")
+    first = Written(classes.where("doc_id = component_id").groupBy("doc_id.id", "doc_id.hash")
                     .agg(F.count(F.lit(1)).alias("n")), "first_of_class").df
 
     def rows_of(part: DataFrame) -> DataFrame:

@@ -74,6 +74,29 @@ def test_deduplicate_cuts_common_lines_from_short_pages(spark):
     assert got == [(i, f"own {i}") for i in range(6)] + [(6, common)]
 
 
+def test_short_pages_lose_a_common_first_line(spark):
+    texts = [(i, f"the line that stands first on every page of every site\nown {i}", f"s{i % 6}") for i in range(30)]
+    got = rows(line_dedup.clean(docs(spark, texts)), "doc_id", "text", "n_lines", "n_removed")
+    assert got == sorted(((i, f"own {i}", 2, 1) for i in range(30)), key=repr)
+
+
+def test_any_type_of_other_column(spark):
+    from pyspark.sql import functions as F
+
+    texts = [(i, f"{body(i)}\nmenu", f"s{i}") for i in range(6)]
+    table = docs(spark, texts).withColumns({"tags": F.create_map(F.lit("k"), F.col("doc_id")), "list": F.array("source")})
+    got = line_dedup.deduplicate(table)
+    assert got.schema == table.schema
+    assert sorted((r.doc_id, r.text, r.tags) for r in got.collect()) == [(i, body(i), {"k": i}) for i in range(6)]
+
+
+def test_a_text_of_very_many_common_lines(spark):
+    many = [f"common {k}" for k in range(100_000)]
+    texts = [(i, "\n".join(many) + f"\nown {i}\n", f"s{i}") for i in range(5)]
+    got = rows(line_dedup.clean(docs(spark, texts)), "doc_id", "text", "n_lines", "n_removed")
+    assert got == [(i, f"own {i}\n", 100_001, 100_000) for i in range(5)]
+
+
 def test_corpus_equals_sql(spark):
     folder = "/root/testdata/sf0.01"
     from panelcast.llm.queries import ORACLES, QUERIES

@@ -103,6 +103,16 @@ def test_deduplicate_keeps_one_of_each_class(spark):
         [(2, "one two three four"), (9, "other words"), (None, "alone here"), (3, None)], key=repr)
 
 
+def test_deduplicate_keeps_any_type_of_other_column(spark):
+    from pyspark.sql import functions as F
+
+    table = docs(spark, [(k, f"text number {k % 5} of some words", "a") for k in range(20)]).withColumn(
+        "tags", F.create_map(F.lit("k"), F.col("doc_id")))
+    got = simhash.deduplicate(table)
+    assert got.schema == table.schema
+    assert sorted((r.doc_id, r.tags["k"]) for r in got.collect()) == [(k, k) for k in range(5)]
+
+
 def test_corpus(spark, sf_dir):
     from panelcast.llm.queries import QUERIES
 
