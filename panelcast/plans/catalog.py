@@ -9,6 +9,7 @@ from panelcast.plans import (  # noqa: F401
     catalog_series,
     catalog_sources,
     catalog_trees,
+    catalog_boosting,
     catalog_identities,
 )
 from panelcast.plans.registry import ORACLES, QUERIES
