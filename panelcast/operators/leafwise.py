@@ -40,6 +40,8 @@ from panelcast.session import materialize
 
 ROUNDS, LEAVES, BINS, RATE, PATIENCE, MIN_ROWS = 1000, 31, 255, 0.05, 100, 20
 REWRITE = 8
+# Histograms on their way: one row per task, fold and node, bins as byte strings.
+HISTOGRAM = ["fold", "node", "n", "g"]
 EPOCH = dt.date(1970, 1, 1)
 
 
@@ -270,29 +272,27 @@ def histograms(state: DataFrame, spans: list, work: list, columns: Columns, rate
                 cells = (flat[rows] + slot[:, None] * total).ravel()
                 counts[0] += np.bincount(cells, minlength=counts.shape[1])
                 counts[1] += np.bincount(cells, weights=np.repeat(gradient, bins.shape[1]), minlength=counts.shape[1])
-        keys = list(slots)
-        cells = np.flatnonzero(counts[0])
-        fold, node = (np.array([keys[s][i] for s in cells // total], np.int32) for i in (0, 1))
-        parts = [(fold, node, cells % total, counts[0][cells], counts[1][cells]),
-                 (np.arange(len(spans)), np.full(len(spans), -1), np.zeros(len(spans)), losses[:, 1], losses[:, 0])]
-        for part in parts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.asarray(x).astype(t)) for x, t in zip(part, ("i4", "i4", "i4", "f8", "f8"))],
-                names=["fold", "node", "bin", "n", "g"])
-
-    found = state.mapInArrow(run, "fold int, node int, bin int, n double, g double").groupBy("fold", "node", "bin").agg(
-        F.sum("n").alias("n"), F.sum("g").alias("g")).toArrow()
-    fold, node, bin_, n, g = (found.column(c).to_numpy() for c in ("fold", "node", "bin", "n", "g"))
+        parts = counts.reshape(2, len(slots), total)
+        sums = [*zip(slots, parts[0], parts[1]), *(((k, -1), loss[1:], loss[:1]) for k, loss in enumerate(losses))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0] for key, _, _ in sums], pa.int32()), pa.array([key[1] for key, _, _ in sums], pa.int32()),
+             *(pa.array([part[i].tobytes() for part in sums], pa.binary()) for i in (1, 2))], names=HISTOGRAM)
+
+    def added(table):
+        n, g = (np.sum([np.frombuffer(x, "<f8") for x in table.column(c).to_pylist()], axis=0).tobytes() for c in HISTOGRAM[2:])
+        return pa.table([*(table.column(c)[:1] for c in HISTOGRAM[:2]), pa.array([n], pa.binary()), pa.array([g], pa.binary())],
+                        names=HISTOGRAM)
+
+    schema = "fold int, node int, n binary, g binary"
+    found = state.mapInArrow(run, schema).groupBy("fold", "node").applyInArrow(added, schema).collect()
     made: list[dict] = [{} for _ in spans]
     losses: list = [None] * len(spans)
-    for k in range(len(spans)):
-        for j in np.unique(node[fold == k]).tolist():
-            rows = (fold == k) & (node == j)
-            if j < 0:
-                losses[k] = (float(g[rows][0]), int(n[rows][0]))
-                continue
-            made[k][j] = np.zeros((2, total))
-            made[k][j][0][bin_[rows]], made[k][j][1][bin_[rows]] = n[rows], g[rows]
+    for r in found:
+        n, g = np.frombuffer(r["n"], "<f8"), np.frombuffer(r["g"], "<f8")
+        if r["node"] < 0:
+            losses[r["fold"]] = (float(g[0]), int(n[0]))
+        else:
+            made[r["fold"]][r["node"]] = np.stack([n, g])
     return made, losses
 
 

@@ -19,8 +19,8 @@ from panelcast.plans.panel import FOLDS
 from panelcast.plans.registry import query
 from panelcast.session import materialize
 
-SETTINGS = {"rounds": 20, "rate": 0.15}
-EXPLAINED = {"rounds": 6, "rate": 0.3}
+SETTINGS = {"rounds": 8, "rate": 0.3}
+EXPLAINED = {"rounds": 4, "rate": 0.3}
 # Every family has a segment, so the join of the shared rows keeps all of them.
 ALL_ROWS = FOLD_ROWS.format(where="")
 
