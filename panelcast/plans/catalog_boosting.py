@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators import attribution, leafwise, reports, tree_shapley
-from panelcast.operators.folds import assign_test_fold
+from panelcast.operators import attribution, category_means, leafwise, reports, tree_shapley
+from panelcast.operators.folds import assign_folds, assign_test_fold
 from panelcast.operators.trees import IDS, union
 from panelcast.plans.catalog_base import round_all
 from panelcast.plans.catalog_identities import FOLD_ROWS, _near_zero
 from panelcast.plans.catalog_trees import model_table
-from panelcast.plans.oracle import sql
-from panelcast.plans.panel import FOLDS
+from panelcast.plans.oracle import more, sql
+from panelcast.plans.panel import FOLDS, sales_panel
 from panelcast.plans.registry import query
 from panelcast.session import materialize
 
@@ -74,3 +74,38 @@ def _(spark, sf):
 def _(spark, sf):
     rows, features = explained(spark, sf)
     return round_all(attribution.dependence(tree_shapley.long_form(rows, features, [*IDS, "fold"]), "sales_lag_7"))
+
+
+MEANS = """
+coded AS (
+  SELECT folds.fold, CASE WHEN p.date <= folds.train_end THEN 'train' ELSE 'test' END AS split, p.date, p.store_nbr, p.family, p.city,
+         p.sales, md5('42|' || CAST(p.date AS VARCHAR) || '|' || p.store_nbr || '|' || p.family) AS place
+  FROM panel p JOIN folds ON p.date BETWEEN folds.train_start AND folds.train_end OR p.date BETWEEN folds.test_start AND folds.test_end),
+priors AS (SELECT fold, avg(sales) AS prior FROM coded WHERE split = 'train' GROUP BY fold),
+family_sums AS (SELECT fold, family, sum(sales) AS s, count(*) AS n FROM coded WHERE split = 'train' GROUP BY fold, family),
+city_sums AS (SELECT fold, city, sum(sales) AS s, count(*) AS n FROM coded WHERE split = 'train' GROUP BY fold, city),
+ordered AS (
+  SELECT fold, split, date, store_nbr, family, prior, coalesce(sum(sales) OVER f, 0) AS fs, count(sales) OVER f AS fn,
+         coalesce(sum(sales) OVER c, 0) AS cs, count(sales) OVER c AS cn
+  FROM coded JOIN priors USING (fold) WHERE split = 'train'
+  WINDOW f AS (PARTITION BY fold, family ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         c AS (PARTITION BY fold, city ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  UNION ALL
+  SELECT fold, split, date, store_nbr, family, prior, coalesce(f.s, 0), coalesce(f.n, 0), coalesce(c.s, 0), coalesce(c.n, 0)
+  FROM coded JOIN priors USING (fold) LEFT JOIN family_sums f USING (fold, family) LEFT JOIN city_sums c USING (fold, city)
+  WHERE split = 'test')"""
+
+
+@query("m10_ordered_category_means", more(MEANS, """
+SELECT fold, split, date, store_nbr, family, round((fs + prior) / (fn + 1), 6) AS family_mean, round((cs + prior) / (cn + 1), 6) AS city_mean
+FROM ordered"""))
+def _(spark, sf):
+    """Training rows by the rows before them, test rows by all training rows of their fold."""
+    rows = materialize(assign_folds(sales_panel(spark, sf, transactions=True), FOLDS).select(
+        "fold", "split", "date", "store_nbr", "family", "city", "sales"), "fold_rows")
+    train, texts = rows.where("split = 'train'"), ["family", "city"]
+    ordered = category_means.ordered_means(train, texts, "sales", ["date", "store_nbr", "family"], ["fold"])
+    means = materialize(category_means.fit_means(train, texts, "sales", ["fold"]), "category_means")
+    priors = category_means.group_priors(train, ["fold"], "sales")
+    test = category_means.apply_means(rows.where("split = 'test'"), means, priors, texts, ["fold"])
+    return round_all(ordered.unionByName(test).drop("city", "sales"))
