@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelcast.functions.columns import safe_name
 
@@ -82,23 +87,78 @@ def upsert_by(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def latest(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
-    """Newest version of an upserted table and its number (none: 0)."""
+# Markers of a stored table's versions: number -> folder of its rows and their schema.
+COMMITS = "_commits"
+
+
+def _files(spark: SparkSession, path: str):
+    """(file context, path object) of a path, whatever store it is in."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place = place.getFileSystem(conf).makeQualified(place)
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), conf), place
+
+
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the committed versions, oldest first."""
+    files, folder = _files(spark, f"{base}/{COMMITS}")
+    if not files.util().exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.util().listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
+    """The rows of one committed version."""
+    marker = spark.read.text(f"{base}/{COMMITS}/{version:010d}", wholetext=True).first()[0]
+    folder, schema = marker.split("\n", 1)
+    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{base}/{folder}")
+
+
+def commit(spark: SparkSession, base: str, version: int, folder: str, schema: StructType) -> bool:
+    """Name ``folder`` as a version; false if another writer has that version already.
+
+    The marker is written whole under another name and then renamed, and a rename never
+    replaces a marker that stands there.
+    """
+    draft = f"{base}/{COMMITS}/draft-{uuid.uuid4().hex}"
+    files, source = _files(spark, draft)
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    out = source.getFileSystem(spark._jsc.hadoopConfiguration()).create(source, False)
+    out.write(bytearray(f"{folder}\n{schema.json()}".encode()))
+    out.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    _, target = _files(spark, f"{base}/{COMMITS}/{version:010d}")
     try:
-        table = spark.read.option("basePath", base).parquet(f"{base}/version=*")
-    except AnalysisException:
-        return None, 0
-    version = table.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{base}/version={version}"), version
+        files.rename(source, target, options)
+        return True
+    except Py4JJavaError as error:
+        if not error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        files.delete(source, False)
+        return False
+
+
+def latest(spark: SparkSession, base: str) -> tuple[DataFrame | None, int]:
+    """Newest committed version of an upserted table and its number (none: 0)."""
+    known = versions(spark, base)
+    return (read_version(spark, base, known[-1]), known[-1]) if known else (None, 0)
 
 
 def upsert_table(spark: SparkSession, base: str, new: DataFrame, key: str) -> DataFrame:
-    """Replace one key's rows in a stored table.
+    """Replace one key's rows in a stored table; the version that holds them.
 
-    The result goes to a new version folder: a path is never read and overwritten in
-    one job, and a failed run leaves the old version whole.
+    Rows go to a folder of their own, and a marker that names the folder makes them a version.
+    A failed run leaves a folder that no marker names, so it changes nothing and is in nobody's
+    way. A writer that finds its version taken merges with that version's rows and tries again,
+    so writers at the same time lose no rows; an empty table is a version too.
     """
-    old, version = latest(spark, base)
-    merged = new if old is None else upsert_by(old, new, key)
-    merged.write.parquet(f"{base}/version={version + 1}")
-    return spark.read.parquet(f"{base}/version={version + 1}")
+    while True:
+        old, version = latest(spark, base)
+        merged = new if old is None else upsert_by(old, new, key)
+        folder = f"rows-{uuid.uuid4().hex}"
+        merged.write.parquet(f"{base}/{folder}")
+        if commit(spark, base, version + 1, folder, merged.schema):
+            return read_version(spark, base, version + 1)

@@ -181,3 +181,62 @@ def test_weights_default_to_one(spark):
 def test_safe_name(spark):
     df = spark.createDataFrame([("BREAD/BAKERY X",)], "f string")
     assert df.select(C.safe_name("f")).first()[0] == "BREAD_BAKERY_X"
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_upsert_goes_on_after_a_failed_run(spark, tmp_path):
+    base = str(tmp_path / "table")
+    first = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "model string, mae double")
+    writers.upsert_table(spark, base, first, "model")
+    failing = spark.createDataFrame([("a", "x")], "model string, t string").select("model", F.col("t").cast("double").alias("mae"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        writers.upsert_table(spark, base, failing, "model")
+    assert _rows(writers.latest(spark, base)[0]) == [("a", 1.0), ("b", 2.0)]
+    got = writers.upsert_table(spark, base, spark.createDataFrame([("a", 3.0)], "model string, mae double"), "model")
+    assert _rows(got) == [("a", 3.0), ("b", 2.0)] and writers.versions(spark, base) == [1, 2]
+    assert _rows(writers.read_version(spark, base, 1)) == [("a", 1.0), ("b", 2.0)]
+
+
+def test_an_empty_table_has_a_version(spark, tmp_path):
+    base = str(tmp_path / "table")
+    empty = spark.createDataFrame([], "model string, mae double")
+    assert writers.latest(spark, base) == (None, 0)
+    assert writers.upsert_table(spark, base, empty, "model").count() == 0
+    assert writers.latest(spark, base)[1] == 1
+    wider = spark.createDataFrame([("a", 1.0, 2)], "model string, mae double, n int")
+    assert _rows(writers.upsert_table(spark, base, wider, "model")) == [("a", 1.0, 2)]
+
+
+def test_a_taken_version_is_not_replaced(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "table")
+    schema = "model string, mae double"
+    writers.upsert_table(spark, base, spark.createDataFrame([("a", 1.0)], schema), "model")
+    real, other = writers.commit, [spark.createDataFrame([("b", 2.0)], schema)]
+
+    def late(*args):
+        # Another writer commits between this one's reading and its marker.
+        if other:
+            monkeypatch.setattr(writers, "commit", real)
+            writers.upsert_table(spark, base, other.pop(), "model")
+            monkeypatch.setattr(writers, "commit", late)
+        return real(*args)
+
+    monkeypatch.setattr(writers, "commit", late)
+    got = writers.upsert_table(spark, base, spark.createDataFrame([("c", 3.0)], schema), "model")
+    assert _rows(got) == [("a", 1.0), ("b", 2.0), ("c", 3.0)] and writers.versions(spark, base) == [1, 2, 3]
+
+
+def test_writers_at_the_same_time_lose_no_rows(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = str(tmp_path / "table")
+
+    def write(k):
+        return writers.upsert_table(spark, base, spark.createDataFrame([(f"m{k}", float(k))], "model string, mae double"), "model")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    assert _rows(writers.latest(spark, base)[0]) == [(f"m{k}", float(k)) for k in range(4)]
