@@ -5,6 +5,7 @@ from __future__ import annotations
 from panelcast.plans import (  # noqa: F401
     catalog_base,
     catalog_linear,
+    catalog_quantiles,
     catalog_reports,
     catalog_series,
     catalog_sources,
