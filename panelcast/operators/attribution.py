@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.linear import filled
-from panelcast.operators.ranking import top_k
+from panelcast.operators.ranking import RANGE_ROWS, running_total, top_k
 from panelcast.session import materialize
 
 
@@ -35,28 +35,37 @@ def dependence(rows: DataFrame, feature: str) -> DataFrame:
     return rows.where(F.col("feature") == feature).drop("feature")
 
 
-def permutation_importance(model: Model, sample: DataFrame, features: list[str], keys: list[str],
-                           y: str = "sales", seed: int = 42) -> DataFrame:
-    """Rise of the RMSE when one feature's values are dealt out in another order.
+def shuffled(df: DataFrame, columns: list[str], keys: list[str], seed: int = 42, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``df`` with ``__p_<column>`` for each column: the columns' values of another row, each row's used once.
 
-    ``sample`` is a bounded sample (see ``sample_n``); ``model`` starts from the raw
-    feature columns. Every permuted copy is scored in the same pass.
+    Rows are ranked in two seeded orders by ranges of bounded length, and a row takes the values
+    of the row that has its rank in the other order. The columns move together.
     """
-    by_key = Window.orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
-    by_other = Window.orderBy(F.xxhash64(F.lit(seed + 1), *keys), *keys)
-    numbered = materialize(
-        sample.select("*", F.row_number().over(by_key).alias("__a"), F.row_number().over(by_other).alias("__b")),
-        "permutation_sample",
-    )
-    others = numbered.select(F.col("__b").alias("__a"), *[F.col(c).alias(f"__p_{c}") for c in features])
-    paired = numbered.drop("__b").join(others, "__a")
+    def place(s: int) -> Column:
+        return F.struct(F.xxhash64(F.lit(s), *keys).alias("hash"), F.col("__row").alias("row"))
+
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "permutation_rows")
+    placed = materialize(rows.withColumns({"__one": place(seed), "__two": place(seed + 1)}), "permutation_places")
+    one = running_total(placed, [], "__one", F.lit(1), "__rank", range_rows).drop("__one", "__two", "__row")
+    values = placed.select("__two", *[F.col(c).alias(f"__p_{c}") for c in columns])
+    two = running_total(values, [], "__two", F.lit(1), "__rank", range_rows).drop("__two")
+    return one.join(two, "__rank").drop("__rank")
+
+
+def permutation_importance(model: Model, rows: DataFrame, features: list[str], keys: list[str],
+                           y: str = "sales", seed: int = 42, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rise of the RMSE over ``rows`` when one feature's values are dealt out in another order.
+
+    ``model`` starts from the raw feature columns. Every permuted copy is scored in the same pass.
+    """
+    paired = materialize(shuffled(rows, features, keys, seed, range_rows), "permutation_pairs")
     copies = paired.select("*", F.explode(F.array(*[F.lit(c) for c in ["", *features]])).alias("__which"))
     dealt = copies.withColumns({
         c: F.when(F.col("__which") == c, F.col(f"__p_{c}")).otherwise(F.col(c)) for c in features
     }).drop(*[f"__p_{c}" for c in features])
     error = F.col("prediction") - F.col(y)
-    rmse = model.transform(dealt).groupBy("__which").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
-    base = rmse.where("__which = ''").select("rmse").scalar()
-    return rmse.where("__which <> ''").select(
-        F.col("__which").alias("feature"), (F.col("rmse") - base).alias("importance")
+    rmse = materialize(model.transform(dealt).groupBy("__which").agg(F.sqrt(F.avg(error * error)).alias("rmse")), "permutation_rmse")
+    base = rmse.where("__which = ''").select(F.col("rmse").alias("base"))  # one row
+    return rmse.where("__which <> ''").join(base).select(
+        F.col("__which").alias("feature"), (F.col("rmse") - F.col("base")).alias("importance")
     ).orderBy(F.desc("importance"), "feature")

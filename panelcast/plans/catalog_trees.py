@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators import attribution, linear, ranking, reports, trees, windows
+from panelcast.operators import attribution, linear, reports, trees, windows
 from panelcast.functions import columns as C
 from panelcast.plans.catalog_base import KEY, round_all
 from panelcast.plans.oracle import sql_rounded
@@ -124,7 +124,13 @@ def _(spark, sf):
 
 @query("m17_permutation_importance")
 def _(spark, sf):
-    train, test = _medium(spark, sf)
-    model, _ = trees.forest_fit_predict(train, test, 1, trees=10, depth=6)
-    sample = ranking.sample_n(test, 5000, trees.IDS)
-    return attribution.permutation_importance(model, sample, trees.MEDIUM_FEATURES, trees.IDS)
+    """All test rows of all folds."""
+    table = model_table(spark, sf)
+
+    def of_fold(fold) -> DataFrame:
+        train, test = _medium(spark, sf, fold, table)
+        model, _ = trees.forest_fit_predict(train, test, fold[0], trees=10, depth=6)
+        found = attribution.permutation_importance(model, test, trees.MEDIUM_FEATURES, trees.IDS)
+        return found.withColumn("fold", F.lit(fold[0]))
+
+    return _each_fold(of_fold)
