@@ -6,13 +6,18 @@ benchmark are joined with those of every text, and around each hit the two texts
 word by word: the best stretch of the common diagonal, where a match counts 1 and a
 substitution costs ``PENALTY``, must hold enough matches.
 
-The benchmark is read in blocks of a bounded number of words. A block's seeds are sent to all
-tasks, so texts are never shuffled; a larger benchmark means more blocks, not larger ones.
-
-Cases: null and empty texts and items have no leak; items with fewer than ``MIN_ITEM`` words
-are not searched, items up to ``SHORT_ITEM`` words have masks of their own length; repeated rows and items are
-reported each; null ids are reported as null; other columns are ignored; empty tables give no
-leaks. Texts of any length are searched whole.
+Equal item texts are searched once and their ids joined to what was found. The benchmark is
+read in blocks of a bounded number of words. A block's seeds are sent to all tasks, so texts
+are never shuffled; a larger benchmark means more blocks, not larger ones, and all blocks are
+searched in one pass over the texts.
+
+Items up to ``SHORT_ITEM`` words have masks of their own length. Every text is searched with a
+few blank words at both ends, so that an item cut off by the edge of a text counts its missing
+words as substitutions. Items under ``TOLERANT_ITEM`` words leak only as exact runs of words.
+
+Cases: null, empty and wordless texts and items have no leak; a one-word item leaks wherever
+its word stands; repeated rows and items are reported each; null ids are reported as null;
+other columns are ignored; empty tables give no leaks. Texts of any length are searched whole.
 """
 
 from __future__ import annotations
@@ -27,9 +32,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from pyspark.sql.pandas.types import to_arrow_type
 
+from panelcast.llm.tables import Written
+
 WORD = re.compile(r"[^\W_]+")
 # Fixed masks: 1 is compared, 0 is ignored. After any two substitutions in a passage of fifteen
 # words one of them still matches somewhere, and after nearly any three.
@@ -37,7 +44,8 @@ MASKS = ("100011101001", "110010011001", "101001110001", "101000010111")
 SPAN = 12
 # Items up to so many words get masks of their own length as well.
 SHORT_ITEM = 14
-MIN_ITEM = 8
+# Shorter items must match in all words.
+TOLERANT_ITEM = 8
 # Enough matches: this many words, or this share of a shorter item.
 MIN_MATCH = 13
 ITEM_SHARE = 0.8
@@ -89,9 +97,15 @@ def seeds(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 def needed(n_words: int) -> int:
     """Matching words that make a leak of an item of so many words."""
+    if n_words < TOLERANT_ITEM:
+        return n_words
     return int(min(MIN_MATCH, -(-n_words * ITEM_SHARE // 1)))
 
 
+# Blank words before and after each text: as many as an item with masks of its own may miss.
+EDGE = np.zeros(max(n - needed(n) for n in range(1, SHORT_ITEM + 1)), np.uint64)
+
+
 def short_masks(n_words: int) -> list[str]:
     """Masks of an item's own length; after any allowed substitutions one still matches.
 
@@ -106,7 +120,7 @@ def short_masks(n_words: int) -> list[str]:
 def masks_of(n_words: int) -> list[tuple[int, str]]:
     """(salt, mask) that serve an item of so many words."""
     long = list(enumerate(MASKS, 1)) if n_words >= SPAN else []
-    short = short_masks(n_words) if MIN_ITEM <= n_words <= SHORT_ITEM else []
+    short = short_masks(n_words) if 0 < n_words <= SHORT_ITEM else []
     return long + list(enumerate(short, 100 * n_words))
 
 
@@ -114,7 +128,7 @@ def masks_of(n_words: int) -> list[tuple[int, str]]:
 class Block:
     """Benchmark items with their seeds: a bit table, and sorted hashes with their places."""
 
-    ids: list
+    keys: list[str]
     words: list[np.ndarray]
     masks: dict[int, str]
     values: np.ndarray
@@ -123,7 +137,7 @@ class Block:
     bits: np.ndarray
 
     @classmethod
-    def of(cls, items: list[tuple[object, str]]) -> Block:
+    def of(cls, items: list[tuple[str, str]]) -> Block:
         hashes = WordHashes()
         texts = [words_of(t, hashes) for _, t in items]
         masks: dict[int, str] = {}
@@ -138,8 +152,8 @@ class Block:
         order = np.argsort(values, kind="stable")
         bits = np.zeros(1 << FILTER_BITS, dtype=bool)
         bits[(values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        place = [np.concatenate([np.empty(0, np.int64), *x])[order] for x in (item, at)]
-        return cls([i for i, _ in items], texts, masks, values[order], *place, np.packbits(bits))
+        place = [np.concatenate([np.empty(0, np.int64), *x])[order].astype(np.int32) for x in (item, at)]
+        return cls([key for key, _ in items], texts, masks, values[order], *place, np.packbits(bits))
 
     def hits(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Rows (text, item, place in ``words`` of the item's first word) of every seed that matches.
@@ -162,12 +176,14 @@ class Block:
 
     def leaks(self, texts: list[np.ndarray]) -> list[dict[int, tuple[int, int]]]:
         """For each text: item -> (matching words, first word) of its best stretch, if that is long enough."""
-        words = np.concatenate([np.empty(0, np.uint64), *texts])
-        ends = np.cumsum([len(t) for t in texts])
+        words = np.concatenate([EDGE, *[part for t in texts for part in (t, EDGE, EDGE)]])
+        ends = np.cumsum([len(t) + 2 * len(EDGE) for t in texts])
         best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
         for k, item, place in self.hits(words, ends).tolist():
             text, own = texts[k], self.words[item]
-            start = place - (int(ends[k]) - len(text))
+            if best[k].get(item, (0, 0))[0] == len(own):
+                continue
+            start = place - (int(ends[k]) - len(EDGE) - len(text))
             a, b = max(0, -start), min(len(own), len(text) - start)
             matches, first = stretch(own[a:b] == text[start + a:start + b])
             if matches >= needed(len(own)) and matches > best[k].get(item, (0, 0))[0]:
@@ -185,57 +201,65 @@ def stretch(same: np.ndarray) -> tuple[int, int]:
     return int(same[start:end].sum()), start
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """Items in groups of about ``BLOCK_WORDS`` words, one group on the driver at a time."""
-    items = benchmark.select(F.col(f"`{item_id}`").alias("i"), F.col(f"`{text}`").alias("t")).where("t is not null")
-    total = items.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
+def blocks(items: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    """Items (key, text) in groups of about ``BLOCK_WORDS`` words, one group on the driver at a time."""
+    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // BLOCK_WORDS)
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r["i"], r["t"]) for r in part.collect()]
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("key"), F.lit(n)) == k).collect()]
+
+
+def keyed(benchmark: DataFrame, text: str) -> DataFrame:
+    """The benchmark's columns as a struct ``row`` and the key of its text, no null texts."""
+    item = F.col(f"`{text}`")
+    return benchmark.where(item.isNotNull()).select(
+        F.sha2(item, 256).alias("key"), item.alias("text"), F.struct(*[F.col(f"`{c}`") for c in benchmark.columns]).alias("row"))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
-           item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, leaks) of every row of ``docs``; leaks holds (item_id, n_matched, n_item_words,
-    first_word) of every item found."""
-    leak = StructType([
-        StructField("item_id", benchmark.schema[item_id].dataType), StructField("n_matched", IntegerType()),
-        StructField("n_item_words", IntegerType()), StructField("first_word", IntegerType())])
-    kind = ArrayType(leak)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
-                       F.array().cast(kind).alias("leaks"))
+           item_text: str = "text") -> DataFrame:
+    """(doc_id, leaks) of every row of ``docs``; leaks holds (key, n_matched, n_item_words,
+    first_word) of every item text found, ``key`` being its SHA-256."""
+    kind = ArrayType(StructType([
+        StructField("key", StringType()), StructField("n_matched", IntegerType()),
+        StructField("n_item_words", IntegerType()), StructField("first_word", IntegerType())]))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    out = StructType([rows.schema["doc_id"], StructField("leaks", kind)])
     arrow_kind = to_arrow_type(kind)
-    for items in blocks(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(vars(Block.of(items)))
-
-        def run(batches, shared=shared):
-            block, hashes = Block(**shared.value), WordHashes()
-
-            def leaks_of(texts):
-                return [[{"item_id": block.ids[k], "n_matched": n, "n_item_words": len(block.words[k]), "first_word": at}
-                         for k, (n, at) in sorted(found.items())] for found in block.leaks(texts)]
-
-            for batch in batches:
-                leaks, waiting, size = [], [], 0
-                for value in batch.column(1):
-                    waiting.append(words_of(value.as_py(), hashes))
-                    size += len(waiting[-1])
-                    if size > GROUP_WORDS:
-                        leaks += leaks_of(waiting)
-                        waiting, size = [], 0
-                leaks += leaks_of(waiting)
-                leaks = [known + new for known, new in zip(batch.column(2).to_pylist(), leaks)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(leaks, arrow_kind)], names=["doc_id", "text", "leaks"])
-
-        rows = rows.mapInArrow(run, rows.schema)
-    return rows.select("doc_id", "leaks")
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    items = Written(keyed(benchmark, item_text).select("key", "text").distinct(), "benchmark_items")
+    sent = [docs.sparkSession.sparkContext.broadcast(vars(Block.of(part))) for part in blocks(items.df)]
+    items.drop()
+
+    def run(batches):
+        known, hashes = [Block(**s.value) for s in sent], WordHashes()
+
+        def leaks_of(texts):
+            result = [[] for _ in texts]
+            for block in known:
+                for row, found in zip(result, block.leaks(texts)):
+                    row += [{"key": block.keys[k], "n_matched": n, "n_item_words": len(block.words[k]), "first_word": at}
+                            for k, (n, at) in sorted(found.items())]
+            return result
+
+        for batch in batches:
+            leaks, waiting, size = [], [], 0
+            for value in batch.column(1):
+                waiting.append(words_of(value.as_py(), hashes))
+                size += len(waiting[-1])
+                if size > GROUP_WORDS:
+                    leaks += leaks_of(waiting)
+                    waiting, size = [], 0
+            leaks += leaks_of(waiting)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(leaks, arrow_kind)], names=["doc_id", "leaks"])
+
+    return rows.mapInArrow(run, out)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, n_matched, n_item_words, first_word): the documents that hold items."""
-    return search(docs, benchmark).select("doc_id", F.inline("leaks"))
+    found = search(docs, benchmark).select("doc_id", F.inline("leaks"))
+    items = keyed(benchmark, "text").select("key", F.col("row").getField(item_id).alias("item_id"))
+    return found.join(items, "key").select("doc_id", "item_id", "n_matched", "n_item_words", "first_word")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

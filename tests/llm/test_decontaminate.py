@@ -31,7 +31,7 @@ def test_any_two_substitutions_in_fifteen_words_leave_a_seed():
                    for mask in D.MASKS for at in range(15 - D.SPAN + 1))
 
 
-@pytest.mark.parametrize("n", range(8, 15))
+@pytest.mark.parametrize("n", range(1, 15))
 def test_short_items_are_hit_after_every_allowed_substitution(n):
     """All placements; what is reported is then up to the stretch."""
     words = noise(n, n).split()
@@ -61,9 +61,39 @@ def test_part_of_a_long_item(spark):
     assert found(spark, texts, [(1, item)]) == [(1, 1), (3, 1)]
 
 
+@pytest.mark.parametrize("n", range(1, 15))
+def test_items_at_the_edge_of_a_text(n):
+    """All cuts at either end with all placements of substitutions, against every alignment."""
+    words = noise(n, 50 + n).split()
+    block, hashes = D.Block.of([("k", " ".join(words))]), D.WordHashes()
+    own = D.words_of(" ".join(words), hashes)
+    for cut, left in itertools.product(range(n), (True, False)):
+        kept = words[cut:] if left else words[:n - cut]
+        for places in itertools.combinations(range(len(kept)), max(0, n - D.needed(n) - cut)):
+            changed = ["zz" if k in places else w for k, w in enumerate(kept)]
+            texts = [D.words_of(" ".join(t), hashes) for t in ([*changed, "x"] if left else ["x", *changed], ["x"])]
+            best = 0
+            for start in range(-n + 1, len(texts[0])):
+                a, b = max(0, -start), min(n, len(texts[0]) - start)
+                best = max(best, D.stretch(own[a:b] == texts[0][start + a:start + b])[0])
+            got = block.leaks(texts)
+            assert [sorted(g.values()) for g in got] == [[(best, int(not left) + next(
+                k for k in range(len(changed)) if D.stretch(np.array([c != "zz" for c in changed]))[1] == k))]
+                if best >= D.needed(n) else [], []]
+
+
 def test_short_items(spark):
     nine, five = noise(9, 6), noise(5, 7)
-    assert found(spark, [(1, f"x {nine} y"), (2, five)], [(1, nine), (2, five), (3, None), (4, "")]) == [(1, 1)]
+    pairs = [(1, nine), (2, five), (3, None), (4, ""), (5, "...")]
+    texts = [(1, f"x {nine} y"), (2, five), (3, " ".join(five.split()[:4])), (4, f"a {five.upper()}, {five} b"), (5, "...")]
+    assert found(spark, texts, pairs) == [(1, 1), (2, 2), (4, 2)]
+
+
+def test_one_word_and_repeated_items(spark):
+    """Many ids of one text, and a word that stands everywhere."""
+    pairs = [(k, "Yes") for k in range(300)] + [(1000 + k, "yes") for k in range(3)]
+    got = found(spark, [(1, "no yes " * 5000), (2, "yesterday"), (3, "Yes!")], pairs)
+    assert got == sorted([(d, k) for d in (1, 3) for k, _ in pairs], key=repr)
 
 
 def test_blocks_find_what_one_block_finds(spark, monkeypatch):
@@ -99,8 +129,8 @@ def test_corpus_against_every_alignment(spark, sf_dir):
     for doc, words in texts:
         known = set(words)
         for item, own in bench:
-            need = min(D.MIN_MATCH, -(-len(own) * 8 // 10))
-            if len(own) < D.MIN_ITEM or sum(w in known for w in own) < need:
+            need = D.needed(len(own))
+            if not own or sum(w in known for w in own) < need:
                 continue
             for start in range(-len(own) + 1, len(words)):
                 a, b = max(0, -start), min(len(own), len(words) - start)
