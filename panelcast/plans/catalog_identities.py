@@ -103,6 +103,15 @@ def _(spark, sf):
                                           F.max(F.abs(_near_zero(off, F.col("y_pred")))).alias("off_centre"))
 
 
+@query("m13_minimum_of_the_posterior", more(f"{FILLED}, {LAST_DAYS}", """
+SELECT family, 0.0 AS excess, CAST(0 AS BIGINT) AS too_many_bends FROM last90 GROUP BY family"""))
+def _(spark, sf):
+    train, _, scales, models = additive.split_and_fit(daily(spark, sf), 90)
+    table = additive.optimality(train, scales, models)
+    return table.select("family", F.round("excess", 4).alias("excess"),
+                        (F.col("n_bends") > additive.BENDS).cast("long").alias("too_many_bends"))
+
+
 @query("m14_parts_sum_to_the_forecast", more(f"{FILLED}, {LAST_DAYS}", """
 SELECT family, count(*) AS n, 0.0 AS gap FROM last90 GROUP BY family"""))
 def _(spark, sf):
