@@ -10,8 +10,14 @@ Pages carry no labels. The trees learn from a bounded, hash-chosen sample of pag
 markup tells the article apart (``article`` or ``main`` against the rest), each taken twice
 more with other wrappings: the same blocks under neutral tags and class names drawn from the
 vocabulary below, with comments, notices, forms and side columns made of other blocks' words.
+A page that names no article lends its paragraph runs to such wrappings; of its own layout
+only the runs and what is named like boilerplate are learned from. If no sampled page has
+either, the density rule that finds those runs (``dense``) takes the trees' place.
 The last share of sampled pages is not learned from and measures the fit (``agreement``).
 
+A form is left out with all it holds, unless it holds most of the page's paragraphs and no
+article stands outside: such a form wraps the page, and only its controls are left out.
+
 Cases: a null or empty page, or one without main text, has the text ''; repeated rows are
 extracted alike; null urls and ids stay; unclosed and stray tags, unclosed comments and
 unknown entities are read as browsers do, roughly; a page of any length is read whole; other
@@ -37,6 +43,11 @@ from panelcast.llm.tables import Written
 # Expected number of pages that the fit reads at most.
 TRAIN_PAGES = 1_500
 TEST_SHARE = 0.2
+# A paragraph has so many words, a sentence's end, and at most this share of its text in links.
+DENSE_WORDS = 8
+DENSE_LINKS = 1 / 3
+# A page that names no article is learned from if a run of neighbours has so many paragraphs.
+RUN_LENGTH = 3
 # Pages are scored together up to so many blocks, to bound memory.
 GROUP_BLOCKS = 8_000
 
@@ -59,6 +70,7 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
                 "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tr td th div article section main body aside nav header footer form".split())
 ALWAYS_OUT = frozenset("head form nav script style".split())
+LANDMARKS_OUT = frozenset("aside footer header nav".split())
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td dd dt figcaption".split())
 GOOD_NAMES = frozenset(
     "article content main post story entry body text page maincontent blog prose copy articlebody paragraph".split())
@@ -161,9 +173,29 @@ def parse(page: str) -> Block:
                 at = up.parent
         names = [n for value in ATTRIBUTE.findall(found[3]) for n in NAME.findall(split_camel(value))]
         at = Block(name, at, names, at.out or name in ALWAYS_OUT)
+    open_forms(root)
     return root
 
 
+def open_forms(root: Block) -> None:
+    """Take back ``out`` from a form that wraps the page: see the module's first lines."""
+    blocks = in_order(root)
+    forms = [b for b in blocks if b.tag == "form" and not b.parent.out]
+    if not forms:
+        return
+    chars = {id(b): sum(len(t) for _, t in texts_of(b)) for b in blocks if is_paragraph(b)}
+    total = sum(chars.values())
+    for form in forms:
+        inside = in_order(form)
+        held = {id(b) for b in inside}
+        named = any(b.tag in ("article", "main") and id(b) not in held and any(texts_of(x) for x in in_order(b)) for b in blocks)
+        if named or 2 * sum(chars.get(i, 0) for i in held) <= total:
+            continue
+        form.out = False
+        for b in inside[1:]:
+            b.out = b.parent.out or b.tag in ALWAYS_OUT
+
+
 def split_camel(value: str) -> str:
     return re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()
 
@@ -188,6 +220,38 @@ def texts_of(block: Block) -> list[tuple[int, str]]:
     return [(k, t) for k, t in joined if t]
 
 
+def is_paragraph(block: Block) -> bool:
+    """Running text: enough words, the end of a sentence, few links."""
+    text = " ".join(t for _, t in texts_of(block))
+    return text.count(" ") + 1 >= DENSE_WORDS and any(c in text for c in ".?!") and block.links <= DENSE_LINKS * len(text)
+
+
+def side_blocks(blocks: list[Block]) -> set[int]:
+    """Ids of side elements, of what is named like boilerplate, and of all within."""
+    side: set[int] = set()
+    for b in blocks:
+        if b.out or b.tag in LANDMARKS_OUT or any(n in BAD_NAMES for n in b.names) or (b.parent is not None and id(b.parent) in side):
+            side.add(id(b))
+    return side
+
+
+def dense(blocks: list[Block]) -> list[bool]:
+    """Blocks of main text by a rule: paragraphs, and headings right before one, not at the side."""
+    side = side_blocks(blocks)
+    found = [id(b) not in side and is_paragraph(b) for b in blocks]
+    paragraphs = {id(b) for b, f in zip(blocks, found) if f}
+    for b in reversed(blocks):
+        for heading, after in zip(b.children[-2::-1], b.children[:0:-1]):
+            if KIND_OF.get(heading.tag) == "heading" and id(heading) not in side and id(after) in paragraphs and texts_of(heading):
+                paragraphs.add(id(heading))
+    return [id(b) in paragraphs for b in blocks]
+
+
+def rule_odds(blocks: list[Block]) -> np.ndarray:
+    """Log-odds of the blocks by ``dense`` alone; a block without text follows those below it."""
+    return np.array([1.0 if d else -1.0 if texts_of(b) else -0.01 for b, d in zip(blocks, dense(blocks))])
+
+
 def measure(blocks: list[Block]) -> np.ndarray:
     """Features of the blocks of one page, in the order of ``in_order``."""
     n = len(blocks)
@@ -310,6 +374,20 @@ def mark(root: Block) -> bool:
     return any(b.source for b in blocks)
 
 
+def mark_run(root: Block) -> bool:
+    """Set ``source`` of a page that names no article: runs of paragraphs against side blocks, the
+    rest unknown; False if it has no run."""
+    blocks = in_order(root)
+    side = side_blocks(blocks)
+    found = {id(b) for b, d in zip(blocks, dense(blocks)) if d}
+    runs = {id(c) for b in blocks for c in b.children
+            if id(c) in found and sum(id(x) in found for x in b.children) >= RUN_LENGTH}
+    for b in reversed(blocks):
+        known = id(b) in runs or any(c.source for c in b.children)
+        b.source = True if known else False if id(b) in side else None
+    return bool(runs)
+
+
 def rewrapped(root: Block, draw: random.Random) -> Block:
     """The page's article blocks in another wrapping, among boilerplate made of its words."""
     article = [b for b in in_order(root) if b.source and texts_of(b)]
@@ -372,9 +450,9 @@ def rewrapped(root: Block, draw: random.Random) -> Block:
 
 
 def examples(page: str, seed: int) -> list[Block]:
-    """Trees with known blocks: the page as it is and two other wrappings; none without article."""
+    """Trees with known blocks: the page as it is and two other wrappings; none without main text."""
     root = parse(page)
-    if not mark(root):
+    if not mark(root) and not mark_run(root):
         return []
     draw = random.Random(seed)
     return [root, rewrapped(root, draw), rewrapped(root, draw)]
@@ -393,7 +471,7 @@ def training_blocks(pages: DataFrame, text: str, train_pages: int) -> Written:
                 seed = zlib.crc32(page.as_py().encode("utf-8", "replace"))
                 for root in examples(page.as_py(), seed):
                     blocks = in_order(root)
-                    use = [i for i, b in enumerate(blocks) if i and not b.out]
+                    use = [i for i, b in enumerate(blocks) if i and not b.out and b.source is not None]
                     x = measure(blocks)[use]
                     label = [float(bool(blocks[i].source)) for i in use]
                     test = [seed % 1000 < 1000 * TEST_SHARE] * len(use)
@@ -419,12 +497,14 @@ def agreement(pages: DataFrame, trees: list[dict], text: str = "html", train_pag
 
 
 def extract(pages: DataFrame, trees: list[dict], page_id: str = "page_id", url: str = "url", text: str = "html") -> DataFrame:
-    """(page_id, url, text) of every row of ``pages``."""
+    """(page_id, url, text) of every row of ``pages``; without trees, by the density rule."""
     shared = pages.sparkSession.sparkContext.broadcast(trees)
 
     def group(roots: list[list[Block]]) -> list[str]:
-        x = [measure(blocks) for blocks in roots]
-        odds = 2 * boosting.margin(shared.value, np.concatenate(x))
+        if shared.value:
+            odds = 2 * boosting.margin(shared.value, np.concatenate([measure(blocks) for blocks in roots]))
+        else:
+            odds = np.concatenate([rule_odds(blocks) for blocks in roots])
         out, at = [], 0
         for blocks in roots:
             keep = decode(blocks, odds[at:at + len(blocks)])

@@ -78,8 +78,47 @@ def test_empty_table_and_clashing_columns(spark, trees, pages):
     assert H.extract(named, trees).columns == ["page_id", "url", "text"]
 
 
-def test_nothing_learned_keeps_nothing(spark):
-    assert extract(spark, [], ["<p>words</p>"]) == [""]
+def test_nothing_learned_keeps_dense_blocks(spark):
+    page = f"<div class='menu'><p>{STORY}</p></div><h2>Title</h2>{STORY}<footer><p>All of this is ours. Keep your hands off it.</p></footer>"
+    assert extract(spark, [], ["<p>words</p>", page]) == ["", "Title " + STORY_TEXT]
+
+
+def div_page(k, wrap="{}"):
+    story = "".join(f"<p>Sentence {i} of page {k} tells more than the one before it, and then it stops.</p>" for i in range(3 + k % 5))
+    return wrap.format(
+        f"<div class='menu'><a href=/>Home</a> <a href=/n>News</a></div><div class='post'><h1>Page {k}</h1>{story}</div>"
+        f"<div class='comments'><p>I liked page {k} a lot, thanks. Please write more of it.</p></div>"
+        "<div class='footer'>© All rights reserved</div>"), f"Page {k} " + " ".join(re.findall("<p>(.*?)</p>", story))
+
+
+def test_table_without_named_articles(spark):
+    texts, want = zip(*[div_page(k) for k in range(60)])
+    table = spark.createDataFrame([(k, f"u{k}", t) for k, t in enumerate(texts)], SCHEMA)
+    learned = H.fit(table)
+    assert learned
+    got = extract(spark, learned, texts)
+    assert sum(g == w for g, w in zip(got, want)) >= 0.9 * len(want)
+    assert extract(spark, [], texts) == list(want)
+
+
+def test_form_around_the_page(spark, trees):
+    inner = f"<article><h1>Head</h1>{STORY}</article>"
+    search = "<form><p>Search all of this site for words. Type them here.</p><input></form>"
+    login = "<form id=f><label>Name</label><input><select><option>One</select><button>Go</button></form>"
+    got = extract(spark, trees, [
+        f"<body><form id=aspnet><input type=hidden>{inner}<select><option>One</select></form></body>",
+        f"<body>{search}{inner}{login}</body>",
+        f"<body><article><p>Short one.</p></article><form>{STORY}</form></body>",
+        f"<body>{login}</body>",
+    ])
+    assert got == ["Head " + STORY_TEXT, "Head " + STORY_TEXT, "Short one.", ""]
+
+
+def test_training_pages_without_named_article():
+    assert H.examples("<div><p>One two.</p></div>", 1) == []
+    page = H.examples(f"<div>{STORY}</div><p>© us</p><div class=menu><p>Home</p></div>", 1)[0]
+    assert [b.source for b in H.in_order(page)] == [True, True] + [True] * 8 + [None, False, False]
+    assert len(H.examples(f"<article>{STORY}</article>", 1)) == 3
 
 
 def test_parse_closes_what_markup_leaves_open():
