@@ -1,45 +1,64 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is counted by Spark jobs, n-grams sharded by key, on a bounded, hash-chosen sample of
-trusted documents; its vocabulary, count tables and discounts are therefore bounded too. The
-tables of the three orders go to every task as sorted arrays and are joined there to the
-n-grams of all documents, so those are never shuffled and none is a hot key. A document is kept if its perplexity is at most its language's quantile among
-trusted documents that the model did not read.
+The model reads every trusted document that is not held out. Its n-grams are counted and smoothed
+by Spark aggregates and joins, and kept in a table that is bucketed by n-gram. Scores come from
+joins with that table: the logarithm of an interpolated probability is a sum of numbers that belong
+to one n-gram each, what it adds when its last word is predicted and when it is the context, so the
+n-grams of a document are joined one by one, in any order, and added up. N-grams that are frequent
+in the trusted text are looked up before the shuffle, in a table of bounded size that goes to all
+tasks; this saves rows and leaves no hot key. Documents and model are worked off in slices, so that
+the disk holds the n-grams of one slice at a time. A document is kept if its perplexity is at most its
+language's quantile among trusted documents that the model did not read.
+
+The most frequent words go to all tasks too; if the vocabulary is longer than that, a join tells each
+text which of its other words are in it.
 
 Cases: a null or empty text has no tokens, no perplexity and is not kept; a language without
 trusted documents, or a null one, takes the quantile of all; without trusted documents there
 is no threshold and every text with a token is kept; labels that are null are not trusted, a
 document labelled twice is trusted if all labels say so; null ids and repeated rows are scored
 each; other columns are ignored; an empty table gives an empty result. Texts of any length are
-scored whole.
+scored whole. Texts and n-grams are joined by hashes of 64 bits.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.tables import Written
+from panelcast.llm.tables import Bucketed, Written
 
-# Expected number of trusted documents that the model reads at most.
-TRAIN_ROWS = 4_000
 # Share of the trusted documents that set the thresholds instead.
 HELD_SHARE = 0.4
 # Texts are scored together up to so many tokens, to bound memory.
-GROUP_TOKENS = 1_000_000
+GROUP_TOKENS = 500_000
 QUANTILE = 0.995
-# Words of the model at most; ids have so many bits, three of them fit a key.
-ID_BITS = 20
 MIN_COUNT = 2
 # Words longer than this count by their shape.
 LONGEST = 64
-CACHE_SIZE = 500_000
+# Words and n-grams at most that go to all tasks; the others are joined.
+FREQUENT_WORDS = 1 << 20
+FREQUENT_GRAMS = 1 << 20
+# N-grams in a bucket of the model, bytes of text and n-grams in a slice, and slices at most.
+BUCKET_GRAMS = 1_000_000
+SLICE_BYTES = 8_000_000
+SLICE_GRAMS = 1_000_000
+SLICES = 10
 # Words outside the vocabulary count by their shape: 0 to 4.
 START, END = 5, 6
+# In place of the words that a shorter n-gram does not have.
+NONE = -1
+# The least weight of the lower order, so that its logarithm exists.
+LEAST = 1e-9
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 
@@ -62,20 +81,41 @@ def place(salt: str, key: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def trusted(docs: DataFrame, labels: DataFrame, train_rows: int) -> tuple[Written, DataFrame]:
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as their query ends, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def trusted(docs: DataFrame, labels: DataFrame) -> tuple[Written, DataFrame]:
     """(texts to learn from, ids of the trusted documents that set thresholds)."""
     known = Written(labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"))
                     .where("q = 1").select("doc_id"), "trusted").df
-    total = known.count()
     learn = known.where(place("held", "doc_id") >= HELD_SHARE)
-    learn = learn.where(place("learn", "doc_id") < (min(1.0, train_rows / total / (1 - HELD_SHARE)) if total else 1.0))
-    # Bounded by its own parameter, so it may be sent to all tasks.
-    texts = Written(docs.join(F.broadcast(learn), "doc_id").where("text is not null").select("text"), "trusted_texts")
+    texts = Written(docs.join(learn, "doc_id").where("text is not null").select("text"), "trusted_texts")
     return texts, known.where(place("held", "doc_id") < HELD_SHARE)
 
 
-def vocabulary(texts: DataFrame) -> dict[str, int]:
-    """Ids of the words that occur twice or more; the most frequent ones if there are too many."""
+def least_count(counted: DataFrame, limit: int) -> int:
+    """The least n that at most ``limit`` rows reach."""
+    capped = counted.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n"))
+    least, room = (1 << 16) + 1, limit
+    for row in capped.collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["n"]
+    return least
+
+
+def vocabulary(texts: DataFrame) -> tuple[dict[str, int], DataFrame | None, int]:
+    """(ids of the frequent ones of the words that occur twice or more, the others, number of all)."""
 
     def split(batches):
         for batch in batches:
@@ -87,130 +127,300 @@ def vocabulary(texts: DataFrame) -> dict[str, int]:
                                              schema=pa.schema([("token", pa.string()), ("n", pa.int64())]))
 
     counted = texts.mapInArrow(split, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = counted.where((F.col("n") >= MIN_COUNT) & (F.char_length("token") <= LONGEST))
-    rows = counted.orderBy(F.desc("n"), "token").limit((1 << ID_BITS) - END - 1).collect()
-    return {r["token"]: k for k, r in enumerate(rows, END + 1)}
+    counted = Written(counted.where((F.col("n") >= MIN_COUNT) & (F.char_length("token") <= LONGEST)), "vocabulary").df
+    total, least = counted.count(), least_count(counted, FREQUENT_WORDS)
+    found = counted.where(F.col("n") >= least).toArrow()
+    order = np.lexsort((np.array(found["token"].to_pylist(), dtype=object), -found["n"].to_numpy())) if len(found) else []
+    ids = {t: k for k, t in enumerate(found["token"].take(pa.array(order, pa.int64())).to_pylist(), END + 1)}
+    return ids, counted.where(F.col("n") < least).select("token") if len(ids) < total else None, total
+
+
+def rare_id(token: str) -> int:
+    """Id of a word that is not among the frequent ones: negative."""
+    return -(xxhash.xxh64_intdigest(token) >> 1) - 2
+
+
+def ids_of(text: str | None, ids: dict[str, int], own: list[str] | None = None) -> list[int]:
+    """Ids of a text between two starts and an end; ``own`` are its rare words that count as words."""
+    rare = frozenset(own or ())
+    return [START, START, *[ids[t] if t in ids else rare_id(t) if t in rare else shape(t) for t in tokens(text)], END]
+
+
+def groups(batch: pa.RecordBatch, once: bool) -> Iterator[list[tuple]]:
+    """Rows (text, id, own) of a batch, together up to a bound; equal texts only ``once``, if so."""
+    waiting, room, seen = [], 0, set()
+    for row in zip(*(c.to_pylist() for c in batch.columns)):
+        if once and row[1] in seen:
+            continue
+        seen.add(row[1])
+        waiting.append(row)
+        room += len(row[0])
+        if room > 5 * GROUP_TOKENS:
+            yield waiting
+            waiting, room = [], 0
+    if waiting:
+        yield waiting
+
+
+@contextmanager
+def sent(spark: SparkSession, value) -> Iterator[Broadcast]:
+    """``value`` at all tasks, until the block ends."""
+    shared = spark.sparkContext.broadcast(value)
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
+def with_own_words(texts: DataFrame, shared: Broadcast, rare: DataFrame | None) -> DataFrame:
+    """(text, id, own) of the rows of ``texts``: own words are those of the vocabulary that are not among the
+    frequent words, which are ``shared``."""
+    known = texts.select("text", F.xxhash64("text").alias("id"))
+    if rare is None:
+        return known.withColumn("own", F.lit(None).cast("array<string>"))
+
+    def others(batches):
+        for batch in batches:
+            for text, key in zip(*(c.to_pylist() for c in batch.columns)):
+                found = list({t for t in tokens(text) if t not in shared.value and len(t) <= LONGEST})
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.int64()), pa.array(found, pa.string())], names=["id", "token"])
+
+    own = known.mapInArrow(others, "id long, token string").distinct().join(rare, "token", "left_semi")
+    return known.join(own.groupBy("id").agg(F.collect_list("token").alias("own")), "id", "left").select("text", "id", "own")
 
 
-def ids_of(text: str | None, ids: dict[str, int]) -> list[int]:
-    """Ids of a text between two starts and an end."""
-    return [START, START, *[ids[t] if t in ids else shape(t) for t in tokens(text)], END]
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(29))
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
 
 
-def keys(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(trigram, bigram, word) keys at every place from the third on."""
-    a, b, c = ids[:-2], ids[1:-1], ids[2:]
-    return (a << (2 * ID_BITS)) | (b << ID_BITS) | c, (b << ID_BITS) | c, c
+def keys(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the n-grams abc, bc and c."""
+    one = mixed(c.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+    two = mixed(one + b.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    three = mixed(two + a.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return three.view(np.int64), two.view(np.int64), one.view(np.int64)
 
 
-def trigram_counts(texts: DataFrame, ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys in order, counts) of the trigrams of the texts; bounded by the sample."""
-    shared = texts.sparkSession.sparkContext.broadcast(ids)
+def trigram_counts(texts: DataFrame, shared: Broadcast, rare: DataFrame | None) -> DataFrame:
+    """(a, b, c, n) of the trigrams of the texts."""
 
     def explode(batches):
         for batch in batches:
-            found = [keys(np.array(ids_of(t, shared.value), dtype=np.int64))[0] for t in batch.column(0).to_pylist()]
-            key, n = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
+            for group in groups(batch, once=False):
+                found = []
+                for text, _, own in group:
+                    s = np.array(ids_of(text, shared.value, own), dtype=np.int64)
+                    found.append(np.stack([s[:-2], s[1:-1], s[2:]], axis=1))
+                rows = np.concatenate(found)
+                rows = rows[np.lexsort(rows.T[::-1])]
+                first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
+                n = np.diff(first, append=len(rows)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*[pa.array(rows[first, k]) for k in range(3)], pa.array(n)], names=["a", "b", "c", "n"])
 
-    counted = texts.mapInArrow(explode, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    key, n = (counted.column(c).to_numpy() for c in ("key", "n"))
-    order = np.argsort(key)
-    return key[order], n[order]
+    return with_own_words(texts, shared, rare).mapInArrow(explode, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
+def discounts(counted: DataFrame) -> list[float]:
     """Modified Kneser-Ney discounts of counts 0, 1, 2 and 3 or more."""
-    n = [0.0, *[float((counts == k).sum()) for k in (1, 2, 3, 4)]]
+    found = {r["n"]: r["count"] for r in counted.where("n between 1 and 4").groupBy("n").count().collect()}
+    n = [0.0, *[float(found.get(k, 0)) for k in (1, 2, 3, 4)]]
     if not all(n[1:]):  # too few words to tell; the customary fixed values
-        return np.array([0.0, 0.5, 0.75, 0.9])
+        return [0.0, 0.5, 0.75, 0.9]
     y = n[1] / (n[1] + 2 * n[2])
-    return np.clip([0.0, *[k - (k + 1) * y * n[k + 1] / n[k] for k in (1, 2, 3)]], 0.0, [0.0, 0.99, 1.9, 2.9])
+    return np.clip([0.0, *[k - (k + 1) * y * n[k + 1] / n[k] for k in (1, 2, 3)]], 0.0, [0.0, 0.99, 1.9, 2.9]).tolist()
+
+
+def cut(d: list[float]) -> Column:
+    return F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3])
 
 
-def level(key: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
-    """One order of the model: its n-grams' discounted shares and its contexts' weights of the lower order."""
-    d = discounts(counts)
-    cut = d[np.minimum(counts, 3)]
-    context, at = np.unique(key >> ID_BITS, return_inverse=True)
-    total = np.bincount(at, weights=counts)
-    return {"key": key, "share": ((counts - cut) / total[at]).astype(np.float32), "context": context,
-            "left": (np.bincount(at, weights=cut) / total).astype(np.float32)}
+def smoothed(counted: DataFrame, d: list[float], *context: str) -> DataFrame:
+    """``counted`` with each n-gram's discounted share and its context's weight of the lower order."""
+    within = Window.partitionBy(*context)
+    total = F.sum("n").over(within)
+    return counted.select("*", ((F.col("n") - cut(d)) / total).alias("share"), F.greatest(F.sum(cut(d)).over(within) / total, F.lit(LEAST)).alias("left"))
+
+
+def contexts(counted: DataFrame, d: list[float], *context: str) -> DataFrame:
+    """(context, back): the logarithm of each context's weight of the lower order."""
+    left = F.greatest(F.sum(cut(d)) / F.sum("n"), F.lit(LEAST))
+    return counted.groupBy(*context).agg(F.log(left).alias("back"))
+
+
+def keyed(grams: DataFrame) -> DataFrame:
+    """(key, n, delta, back) of (a, b, c, n, delta, back)."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, c = (batch.column(k).to_numpy() for k in range(3))
+            three, two, one = keys(a, b, c)
+            key = np.where(a != NONE, three, np.where(b != NONE, two, one))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns[3:]], names=["key", "n", "delta", "back"])
+
+    return grams.select("a", "b", "c", "n", F.col("delta").cast("float"), F.col("back").cast("float")).mapInArrow(
+        run, "key long, n long, delta float, back float")
 
 
 def train(texts: DataFrame) -> dict:
-    """The model: vocabulary and, for three orders, sorted keys with their shares."""
-    ids = vocabulary(texts)
-    tri, n3 = trigram_counts(texts, ids)
+    """The model: ids of the frequent words, the rare words, and the table of all n-grams.
+
+    ``delta`` of an n-gram is what it adds to the logarithm of its last word's probability beyond
+    the shorter n-gram, ``back`` what it adds as the context of any next word. ``floor`` is the
+    logarithm for a word never seen."""
+    return smooth(*count(texts))
+
+
+def count(texts: DataFrame) -> tuple[dict[str, int], DataFrame | None, int, Written]:
+    """(ids of the frequent words, the rare ones, number of all, trigrams with their counts)."""
+    spark = texts.sparkSession
+    with swept(spark):
+        ids, rare, n_words = vocabulary(texts)
+        with sent(spark, ids) as shared:
+            return ids, rare, n_words, Written(trigram_counts(texts, shared, rare), "trigrams")
+
+
+def smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: Written) -> dict:
+    """The model from its counts, which are dropped."""
+    with swept(counts.spark):
+        return _smooth(ids, rare, n_words, counts)
+
+
+def _smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: Written) -> dict:
+    size = n_words + END
+    tri, d3 = counts.df, discounts(counts.df)
     # Lower orders count the different words to the left instead of occurrences; n-grams that
     # begin a text have no word to their left and keep their occurrences.
-    low = (1 << (2 * ID_BITS)) - 1
-    bi, n2 = np.unique(tri & low, return_counts=True)
-    begins = (tri >> ID_BITS) == ((START << ID_BITS) | START)
-    first = np.searchsorted(bi, tri[begins] & low)
-    n2[first] = np.maximum(n2[first], n3[begins])
-    mono, n1 = np.unique(bi & ((1 << ID_BITS) - 1), return_counts=True)
-    return {"ids": ids, "size": len(ids) + END, 3: level(tri, n3), 2: level(bi, n2), 1: level(mono, n1)}
+    begins = (F.col("a") == START) & (F.col("b") == START)
+    pairs = Written(tri.groupBy("b", "c").agg(F.greatest(F.count("*"), F.max(F.when(begins, F.col("n")))).alias("n")), "pairs")
+    bi, d2 = pairs.df, discounts(pairs.df)
+    mono = Written(bi.groupBy("c").agg(F.count("*").alias("n")), "words").df
+    d1 = discounts(mono)
+    sums = mono.agg(F.sum("n").alias("n"), F.sum(cut(d1)).alias("cut")).first()
+    left1 = max(sums["cut"] / sums["n"], LEAST) if sums["n"] else 1.0
+    floor = math.log(left1 / size)
+    words = mono.select("c", "n", ((F.col("n") - cut(d1)) / float(sums["n"] or 1) + left1 / size).alias("p"))
+
+    lower = F.col("left") * F.col("p")
+    two = smoothed(bi, d2, "b").join(words.select("c", "p"), "c")
+    two = Written(two.select("b", "c", "n", (F.col("share") + lower).cast("float").alias("p"), F.log1p(F.col("share") / lower).cast("float").alias("delta")), "smoothed_pairs")
+    backs = Written(contexts(bi, d2, "b"), "word_contexts").df.select(F.col("b").alias("c"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("delta"), "back")
+    pairs.drop()
+
+    n_grams = tri.count()
+    slices = min(SLICES, 1 + n_grams // SLICE_GRAMS)
+    grams = Bucketed(counts.spark, "key", 1 + n_grams // BUCKET_GRAMS, "ngrams")
+    none = F.lit(NONE).cast("long")
+    one = words.select("c", "n", (F.log("p") - floor).alias("delta"), F.lit(0.0).alias("back")).unionByName(backs)
+    one = one.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("n", "delta", "back")])
+    grams.append(keyed(one.select(none.alias("a"), none.alias("b"), "c", always("c").alias("n"), "delta", "back")))
+    for k in range(slices):
+        here = lambda word: F.pmod(F.xxhash64(word), F.lit(slices)) == k  # noqa: B023, E731
+        part = tri.where(here("b"))
+        three = smoothed(part, d3, "a", "b").join(two.df.where(here("b")).select("b", "c", "p"), ["b", "c"])
+        grams.append(keyed(three.select("a", "b", "c", "n", F.log1p(F.col("share") / lower).alias("delta"), F.lit(0.0).alias("back"))))
+        before = contexts(part, d3, "a", "b").select(F.col("a").alias("b"), F.col("b").alias("c"), "back")
+        pair = two.df.where(here("c")).join(before, ["b", "c"], "full")
+        grams.append(keyed(pair.select(none.alias("a"), "b", "c", always("c").alias("n"), F.coalesce("delta", F.lit(0.0)).alias("delta"),
+                                       F.coalesce("back", F.lit(0.0)).alias("back"))))
+    for table in (counts, two):
+        table.drop()
+    often = grams.df.where(F.col("n") >= least_count(grams.df, FREQUENT_GRAMS)).select("key", (F.col("delta") + F.col("back")).alias("weight")).toArrow()
+    order = np.argsort(often["key"].to_numpy())
+    return {"ids": ids, "rare": rare, "size": size, "floor": floor, "table": grams,
+            "often": (often["key"].to_numpy()[order], often["weight"].to_numpy()[order])}
+
+
+def always(word: str) -> Column:
+    """Count of an n-gram, past all others for the starts: every text holds them."""
+    return F.when(F.col(word) == START, F.lit(1 << 40)).otherwise(F.coalesce("n", F.lit(0)))
 
 
-def look_up(known: np.ndarray, wanted: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
-    if not len(known):
-        return np.full(len(wanted), missing)
-    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-    return np.where(known[at] == wanted, values[at], missing)
+def log_probabilities(model: dict, ids: np.ndarray) -> np.ndarray:
+    """Log-probability of every id from the third on, of a short sequence."""
+    three, two, one = keys(ids[:-2], ids[1:-1], ids[2:])
+    _, context, word = keys(ids[:-2], ids[:-2], ids[1:-1])
+    wanted = np.unique(np.concatenate([three, two, one, context, word])).tolist()
+    rows = {r["key"]: r for r in model["table"].df.where(F.col("key").isin(wanted)).collect()}
+    of = lambda found, name: np.array([rows[k][name] if k in rows else 0.0 for k in found.tolist()])
+    return model["floor"] + sum(of(k, "delta") for k in (three, two, one)) + of(context, "back") + of(word, "back")
+
+
+def exploded(texts: DataFrame, model: dict, words: Broadcast, often: Broadcast) -> DataFrame:
+    """(id, key, n, base): a text's n-grams that are not frequent, with their counts, and one row with the sum
+    over the frequent ones as base and the tokens as n."""
+    floor = model["floor"]
+
+    def counted(rows):
+        ids, (known, weights) = words.value, often.value
+        sequences = [ids_of(text, ids, own) for text, _, own in rows]
+        sizes = np.array([len(s) for s in sequences])
+        flat = np.concatenate([np.array(s, dtype=np.int64) for s in sequences])
+        row = np.repeat(np.arange(len(rows)), sizes)
+        three, two, one = keys(flat[:-2], flat[1:-1], flat[2:])
+        inner = flat[2:] != START
+        # The two starts are a context once in each text.
+        _, pair, start = keys(*[np.array([START])] * 3)
+        each = np.arange(len(rows))
+        key = np.concatenate([three[inner], two[inner], one[inner], np.repeat(pair, len(rows)), np.repeat(start, len(rows))])
+        at = np.concatenate([*[row[2:][inner]] * 3, each, each])
+        distinct, which = np.unique(key, return_inverse=True)
+        place_of = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
+        often_seen = known[place_of] == distinct if len(known) else np.zeros(len(distinct), dtype=bool)
+        hit = often_seen[which]
+        value = weights[place_of[which[hit]]] if len(known) else np.empty(0)
+        base = np.bincount(at[hit], weights=value, minlength=len(rows)) + floor * (sizes - 2)
+        # Text and n-gram in one number each, so that sorting brings equal ones together.
+        both, n = np.unique((at[~hit] << 32) | which[~hit], return_counts=True)
+        ids_of_rows = np.array([r[1] for r in rows], dtype=np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([ids_of_rows[both >> 32], ids_of_rows])),
+            pa.array(np.concatenate([distinct[both & ((1 << 32) - 1)], ids_of_rows])),
+            pa.array(np.concatenate([n, sizes - 3]).astype(np.int32)),
+            pa.array(np.concatenate([np.zeros(len(both)), base]), mask=np.arange(len(both) + len(rows)) < len(both))],
+            names=["id", "key", "n", "base"])
 
+    def run(batches):
+        for batch in batches:
+            yield from map(counted, groups(batch, once=True))
 
-def log_probabilities(model: dict, ids: np.ndarray) -> np.ndarray:
-    """Log-probability of every id from the third on, interpolated over three orders."""
-    three, two, one = keys(ids)
-    p = np.full(len(one), 1.0 / model["size"])
-    for n, key in ((1, one), (2, two), (3, three)):
-        order = model[n]
-        share = look_up(order["key"], key, order["share"], 0.0)
-        left = look_up(order["context"], key >> ID_BITS, order["left"], 1.0)
-        p = share + left * p
-    return np.log(p)
+    return with_own_words(texts, words, model["rare"]).mapInArrow(run, "id long, key long, n int, base double")
 
 
 def perplexities(docs: DataFrame, model: dict, columns: list[str], text: str = "text") -> DataFrame:
     """``columns`` of ``docs`` with n_tokens and perplexity of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def group(model, texts):
-        ids = [ids_of(t, model["ids"]) for t in texts]
-        sizes = np.array([len(x) for x in ids])
-        flat = np.concatenate([np.array(x, dtype=np.int64) for x in ids])
-        logs = np.concatenate([[0.0, 0.0], log_probabilities(model, flat)])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        logs[starts] = logs[starts + 1] = 0.0  # the starts of a text are given
-        mean = np.add.reduceat(logs, starts) / (sizes - 2)
-        return (sizes - 3).tolist(), np.exp(-mean).tolist()
-
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            sizes, found, waiting, room = [], [], [], 0
-            texts = batch.column(len(columns)).to_pylist()
-            for k, value in enumerate(texts, 1):
-                waiting.append(value)
-                room += len(value or "")
-                if room > 5 * GROUP_TOKENS or k == len(texts):
-                    n, p = group(model, waiting)
-                    sizes, found, waiting, room = sizes + n, found + p, [], 0
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array([p if n else None for n, p in zip(sizes, found)], pa.float64())],
-                names=[*columns, "n_tokens", "perplexity"])
-
-    rows = docs.select(*columns, F.col(f"`{text}`").alias("text_to_score"))
-    fields = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(run, f"{fields}, n_tokens long, perplexity double")
-
-
-def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, quantile: float = QUANTILE) -> DataFrame:
+    texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = min(SLICES, 1 + size // SLICE_BYTES)
+    weights = model["table"].df.select("key", (F.col("delta") + F.col("back")).alias("weight")).hint("shuffle_hash")
+    value = F.coalesce("base", F.coalesce("weight", F.lit(0.0)) * F.col("n"))
+    token = F.when(F.col("base").isNotNull(), F.col("n"))
+    spark = docs.sparkSession
+    with swept(spark), sent(spark, model["ids"]) as words, sent(spark, model["often"]) as often:
+        parts = [Written(exploded(texts.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k), model, words, often).join(weights, "key", "left").groupBy("id").agg(
+            F.sum(value).alias("log"), F.sum(token).alias("tokens"), F.count("base").alias("copies")), "log_sums").df for k in range(slices)]
+    sums = parts[0]
+    for part in parts[1:]:
+        sums = sums.unionByName(part)
+    # Equal texts share an id: their rows are added up, tokens as well.
+    sums = sums.select(F.col("id").alias("text_to_score"), (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
+                       F.when(F.col("tokens") > 0, F.exp(-F.col("log") / (F.col("tokens") + F.col("copies")))).alias("perplexity"))
+    rows = docs.select(*columns, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text_to_score"))
+    return rows.join(sums, "text_to_score").select(*columns, "n_tokens", "perplexity")
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_tokens, perplexity, threshold, kept) of every row of ``docs``."""
-    texts, held = trusted(docs, labels, train_rows)
-    scored = Written(perplexities(docs, train(texts.df), ["doc_id", "lang"]), "perplexities").df
+    with swept(docs.sparkSession):
+        texts, held = trusted(docs, labels)
+    counted = count(texts.df)
     texts.drop()
+    model = smooth(*counted)
+    scored = Written(perplexities(docs, model, ["doc_id", "lang"]), "perplexities").df
+    model["table"].drop()
     measured = Written(scored.join(held, "doc_id").where("perplexity is not null").select("lang", "perplexity"), "held").df
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("own")
     by_lang = measured.where("lang is not null").groupBy("lang").agg(at)

@@ -28,3 +28,24 @@ class Written:
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Bucketed:
+    """A table that grows by ``append``, bucketed by a column: joins on it shuffle the other side only."""
+
+    def __init__(self, spark: SparkSession, key: str, buckets: int, name: str):
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.path = new_path(spark, name)
+        self.table = self.path.rsplit("/", 1)[1].replace("-", "_")
+
+    def append(self, df: DataFrame) -> None:
+        dealt = df.repartition(self.buckets, self.key)
+        dealt.write.bucketBy(self.buckets, self.key).option("path", self.path).mode("append").saveAsTable(self.table)
+
+    @property
+    def df(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.table}")
+        Written.drop(self)

@@ -96,3 +96,30 @@ def test_verdicts_against_labels(spark):
     good, poor = ([r.kept for r in got if r.quality == q] for q in (1, 0))
     assert sum(good) >= 0.98 * len(good)
     assert sum(poor) <= 0.35 * len(poor)
+
+
+def test_all_trusted_text_that_is_not_held_out_is_learned(spark):
+    def name(k):
+        return "".join("abcdefghij"[int(d)] for d in f"{k:05d}")
+
+    texts = {k: f"the cat {name(k)} sat on {name(k)} {name(k // 2)}" for k in range(12_000)}
+    table, known = docs(spark, list(texts.items())), labels(spark, [(k, 1, 0) for k in texts])
+    learned = [r.doc_id for r in known.where(K.place("held", "doc_id") >= K.HELD_SHARE).collect()]
+    assert len(learned) > 6_000
+    ids, p = plain_model([texts[k] for k in learned])
+    got = {r.doc_id: r.perplexity for r in K.classify(table, known).collect()}
+    assert len(got) == len(texts)
+    for k in range(0, 12_000, 97):
+        assert got[k] == pytest.approx(plain_perplexity(ids, p, texts[k]), rel=1e-4)
+
+
+def test_words_and_ngrams_beyond_the_frequent_ones(spark, monkeypatch):
+    for limit, value in (("FREQUENT_WORDS", 3), ("FREQUENT_GRAMS", 2), ("SLICES", 2), ("SLICE_BYTES", 10), ("SLICE_GRAMS", 10), ("BUCKET_GRAMS", 20)):
+        monkeypatch.setattr(K, limit, value)
+    model = K.train(docs(spark, list(enumerate(TRAIN))).select("text"))
+    assert len(model["ids"]) <= 3 and len(model["often"][0]) <= 2
+    ids, p = plain_model(TRAIN)
+    texts = [(1, "the cat sat"), (2, "a mat ran on"), (3, "unseen words %% !"), (4, "MAT 7 Big dog the"), (5, "the"), (5, "the"), (None, "the cat cat cat")]
+    got = rows(K.perplexities(docs(spark, texts), model, ["doc_id"]), "doc_id", "n_tokens", "perplexity")
+    want = [(i, len(K.tokens(t)), pytest.approx(plain_perplexity(ids, p, t), rel=1e-4)) for i, t in texts]
+    assert got == sorted(want, key=lambda r: repr(r[0]))
