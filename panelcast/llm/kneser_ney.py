@@ -55,6 +55,8 @@ SLICE_GRAMS = 1_000_000
 SLICES = 10
 # Words outside the vocabulary count by their shape: 0 to 4.
 START, END = 5, 6
+# Count of the n-grams of starts, which every text holds: past all others.
+STARTS = 1 << 40
 # In place of the words that a shorter n-gram does not have.
 NONE = -1
 # The least weight of the lower order, so that its logarithm exists.
@@ -85,7 +87,7 @@ def place(salt: str, key: str) -> Column:
 def swept(spark: SparkSession) -> Iterator[None]:
     """Shuffle files go as soon as their query ends, not when the driver collects its garbage."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
         yield
@@ -105,7 +107,7 @@ def trusted(docs: DataFrame, labels: DataFrame) -> tuple[Written, DataFrame]:
 def least_count(counted: DataFrame, limit: int) -> int:
     """The least n that at most ``limit`` rows reach."""
     capped = counted.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n"))
-    least, room = (1 << 16) + 1, limit
+    least, room = STARTS, limit
     for row in capped.collect():
         room -= row["count"]
         if room < 0:
@@ -335,8 +337,8 @@ def _smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: W
 
 
 def always(word: str) -> Column:
-    """Count of an n-gram, past all others for the starts: every text holds them."""
-    return F.when(F.col(word) == START, F.lit(1 << 40)).otherwise(F.coalesce("n", F.lit(0)))
+    """Count of an n-gram, past all others for those of starts."""
+    return F.when(F.col(word) == START, F.lit(STARTS)).otherwise(F.coalesce("n", F.lit(0)))
 
 
 def log_probabilities(model: dict, ids: np.ndarray) -> np.ndarray:
