@@ -1,14 +1,15 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model reads every trusted document that is not held out. Its n-grams are counted and smoothed
-by Spark aggregates and joins, and kept in a table that is bucketed by n-gram. Scores come from
-joins with that table: the logarithm of an interpolated probability is a sum of numbers that belong
-to one n-gram each, what it adds when its last word is predicted and when it is the context, so the
-n-grams of a document are joined one by one, in any order, and added up. N-grams that are frequent
-in the trusted text are looked up before the shuffle, in a table of bounded size that goes to all
-tasks; this saves rows and leaves no hot key. Documents and model are worked off in slices, so that
-the disk holds the n-grams of one slice at a time. A document is kept if its perplexity is at most its
-language's quantile among trusted documents that the model did not read.
+by Spark aggregates and joins, and kept in a table that is bucketed by shard, a range of the n-grams'
+hashes. Scores come from joins with that table: the logarithm of an interpolated probability is a sum
+of numbers that belong to one n-gram each, what it adds when its last word is predicted and when it is
+the context, so the n-grams of a document are joined one by one, in any order, and added up. N-grams
+cross the network as array columns, a row per group of texts and shard, and are joined shard by shard.
+N-grams that are frequent in the trusted text are looked up before the shuffle, in a table of bounded
+size that goes to all tasks; this saves entries and leaves no hot key. Documents and model are worked
+off in slices, so that the disk holds the n-grams of one slice at a time. A document is kept if its
+perplexity is at most its language's quantile among trusted documents that the model did not read.
 
 The most frequent words go to all tasks too; if the vocabulary is longer than that, a join tells each
 text which of its other words are in it.
@@ -23,6 +24,7 @@ scored whole. Texts and n-grams are joined by hashes of 64 bits.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterator
@@ -30,17 +32,18 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.tables import Bucketed, Written
 
 # Share of the trusted documents that set the thresholds instead.
 HELD_SHARE = 0.4
-# Texts are scored together up to so many tokens, to bound memory.
-GROUP_TOKENS = 500_000
+# Texts are read together up to so many tokens, which fit a processor's cache.
+GROUP_TOKENS = 100_000
 QUANTILE = 0.995
 MIN_COUNT = 2
 # Words longer than this count by their shape.
@@ -48,21 +51,24 @@ LONGEST = 64
 # Words and n-grams at most that go to all tasks; the others are joined.
 FREQUENT_WORDS = 1 << 20
 FREQUENT_GRAMS = 1 << 20
-# N-grams in a bucket of the model, bytes of text and n-grams in a slice, and slices at most.
-BUCKET_GRAMS = 1_000_000
+# Trigrams in a shard, bytes of text and trigrams in a slice, and slices at most.
+BUCKET_GRAMS = 500_000
 SLICE_BYTES = 8_000_000
 SLICE_GRAMS = 1_000_000
-SLICES = 10
+SLICES = 7
 # Words outside the vocabulary count by their shape: 0 to 4.
 START, END = 5, 6
 # Count of the n-grams of starts, which every text holds: past all others.
 STARTS = 1 << 40
-# In place of the words that a shorter n-gram does not have.
-NONE = -1
 # The least weight of the lower order, so that its logarithm exists.
 LEAST = 1e-9
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
+# Kinds of characters: a token is a run of letters, a run of figures or one sign; the others are white space.
+SIGN = 3
+KINDS = {1: r"[^\W\d_]", 2: r"\d", SIGN: r"[^\w\s]|_"}
+# A token's hash is a polynomial of its characters' numbers; the factor has an inverse modulo 2^64.
+FACTOR = 0x9E3779B97F4A7C13
 
 
 def tokens(text: str | None) -> list[str]:
@@ -83,6 +89,56 @@ def place(salt: str, key: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(29))
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+@functools.cache
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """(kind, number) of every character."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.zeros(len(every), np.uint8)
+    for kind, pattern in KINDS.items():
+        kinds[[ord(c) for c in re.findall(pattern, every)]] = kind
+    return kinds, mixed(np.arange(1, len(every) + 1, dtype=np.uint64))
+
+
+class Tokens:
+    """The tokens of some texts in order: hashes, places in the joined texts, and number in each text."""
+
+    def __init__(self, texts: list[str]):
+        self.text = "\n".join(texts) + "\n"
+        codes = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
+        kinds, numbers = characters()
+        kind = kinds[codes]
+        differs = kind[1:] != kind[:-1]
+        alone, some = kind == SIGN, kind != 0
+        self.begin = np.flatnonzero(some & (np.concatenate([[True], differs]) | alone))
+        self.end = np.flatnonzero(some & (np.concatenate([differs, [True]]) | alone)) + 1
+        powers = lambda factor: np.cumprod(np.full(len(codes), factor, dtype=np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers[codes] * powers(FACTOR))])
+        self.hash = mixed((sums[self.end] - sums[self.begin]) * powers(pow(FACTOR, -1, 1 << 64))[self.begin])
+        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        self.sizes = np.diff(np.searchsorted(self.begin, starts))
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, place of one, number) of the different tokens, and which of them each token is."""
+        order = np.argsort(self.hash)
+        ordered = self.hash[order]
+        first = firsts(ordered)
+        n = np.diff(first, append=len(order))
+        which = np.empty(len(order), np.int64)
+        which[order] = np.repeat(np.arange(len(first)), n)
+        return ordered[first], order[first], n, which
+
+    def strings(self, places: np.ndarray) -> list[str]:
+        return [self.text[i:j] for i, j in zip(self.begin[places].tolist(), self.end[places].tolist())]
+
+
 @contextmanager
 def swept(spark: SparkSession) -> Iterator[None]:
     """Shuffle files go as soon as their query ends, not when the driver collects its garbage."""
@@ -121,15 +177,14 @@ def vocabulary(texts: DataFrame) -> tuple[dict[str, int], DataFrame | None, int]
 
     def split(batches):
         for batch in batches:
-            found: dict[str, int] = {}
-            for text in batch.column(0).to_pylist():
-                for t in tokens(text):
-                    found[t] = found.get(t, 0) + 1
-            yield pa.RecordBatch.from_pydict({"token": list(found), "n": list(found.values())},
-                                             schema=pa.schema([("token", pa.string()), ("n", pa.int64())]))
+            for group in groups(batch, 6):
+                found = Tokens([text for text, *_ in group])
+                _, places, n, _ = found.distinct()
+                short = found.end[places] - found.begin[places] <= LONGEST
+                yield pa.RecordBatch.from_arrays([pa.array(found.strings(places[short]), pa.string()), pa.array(n[short])], names=["token", "n"])
 
     counted = texts.mapInArrow(split, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = Written(counted.where((F.col("n") >= MIN_COUNT) & (F.char_length("token") <= LONGEST)), "vocabulary").df
+    counted = Written(counted.where(F.col("n") >= MIN_COUNT), "vocabulary").df
     total, least = counted.count(), least_count(counted, FREQUENT_WORDS)
     found = counted.where(F.col("n") >= least).toArrow()
     order = np.lexsort((np.array(found["token"].to_pylist(), dtype=object), -found["n"].to_numpy())) if len(found) else []
@@ -142,22 +197,40 @@ def rare_id(token: str) -> int:
     return -(xxhash.xxh64_intdigest(token) >> 1) - 2
 
 
-def ids_of(text: str | None, ids: dict[str, int], own: list[str] | None = None) -> list[int]:
-    """Ids of a text between two starts and an end; ``own`` are its rare words that count as words."""
-    rare = frozenset(own or ())
-    return [START, START, *[ids[t] if t in ids else rare_id(t) if t in rare else shape(t) for t in tokens(text)], END]
-
-
-def groups(batch: pa.RecordBatch, once: bool) -> Iterator[list[tuple]]:
-    """Rows (text, id, own) of a batch, together up to a bound; equal texts only ``once``, if so."""
-    waiting, room, seen = [], 0, set()
+def hashed(ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, ids) of the words."""
+    hashes = Tokens([" ".join(ids)]).hash
+    order = np.argsort(hashes)
+    return hashes[order], np.fromiter(ids.values(), np.int64, len(ids))[order]
+
+
+def sequences(rows: list[tuple], known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each between two starts and an end, their lengths) of rows (text, id, own); the own
+    words of a text are its words of the vocabulary that are not ``known``."""
+    found = Tokens([r[0] for r in rows])
+    distinct, places, _, which = found.distinct()
+    rare = {t: rare_id(t) for _, _, own in rows for t in own or ()}
+    at, seen = found_in(known[0], distinct)
+    ids = np.zeros(len(distinct), dtype=np.int64)
+    ids[seen] = known[1][at[seen]]
+    ids[~seen] = [rare[t] if t in rare else shape(t) for t in found.strings(places[~seen])]
+    sizes = found.sizes + 3
+    start = np.cumsum(sizes) - sizes
+    out, inside = np.full(sizes.sum(), START, dtype=np.int64), np.ones(sizes.sum(), dtype=bool)
+    out[start + sizes - 1] = END
+    for edge in (start, start + 1, start + sizes - 1):
+        inside[edge] = False
+    out[inside] = ids[which]
+    return out, sizes
+
+
+def groups(batch: pa.RecordBatch, times: int = 1) -> Iterator[list[tuple]]:
+    """Rows of a batch, together up to ``times`` the bound; the first column is the text."""
+    waiting, room = [], 0
     for row in zip(*(c.to_pylist() for c in batch.columns)):
-        if once and row[1] in seen:
-            continue
-        seen.add(row[1])
         waiting.append(row)
         room += len(row[0])
-        if room > 5 * GROUP_TOKENS:
+        if room > 5 * times * GROUP_TOKENS:
             yield waiting
             waiting, room = [], 0
     if waiting:
@@ -184,21 +257,16 @@ def with_own_words(texts: DataFrame, shared: Broadcast, rare: DataFrame | None)
     def others(batches):
         for batch in batches:
             for text, key in zip(*(c.to_pylist() for c in batch.columns)):
-                found = list({t for t in tokens(text) if t not in shared.value and len(t) <= LONGEST})
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.int64()), pa.array(found, pa.string())], names=["id", "token"])
+                found = Tokens([text])
+                distinct, places, _, _ = found.distinct()
+                places = places[~found_in(shared.value[0], distinct)[1]]
+                words = found.strings(places[found.end[places] - found.begin[places] <= LONGEST])
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(words), pa.int64()), pa.array(words, pa.string())], names=["id", "token"])
 
     own = known.mapInArrow(others, "id long, token string").distinct().join(rare, "token", "left_semi")
     return known.join(own.groupBy("id").agg(F.collect_list("token").alias("own")), "id", "left").select("text", "id", "own")
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(32))
-
-
 def keys(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the n-grams abc, bc and c."""
     one = mixed(c.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
@@ -207,23 +275,100 @@ def keys(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.nd
     return three.view(np.int64), two.view(np.int64), one.view(np.int64)
 
 
-def trigram_counts(texts: DataFrame, shared: Broadcast, rare: DataFrame | None) -> DataFrame:
-    """(a, b, c, n) of the trigrams of the texts."""
+def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of hashes: sorted hashes are sorted by shard."""
+    return (((key >> 32) + (1 << 31)) * shards >> 32).astype(np.int32)
+
+
+def blocks(shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+    """A row per shard of the sorted ``shard``, with its part of each column as an array; empty columns give empty ones."""
+    first = firsts(shard)
+    edges = pa.array(np.append(first, len(shard)).astype(np.int32))
+    none = pa.array(np.zeros(len(first) + 1, np.int32))
+    return pa.table({"shard": shard[first], **{
+        name: pa.ListArray.from_arrays(edges if len(values) == len(shard) else none, pa.array(values)) for name, values in columns.items()}})
+
+
+def firsts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from the row before."""
+    if not len(sorted_columns[0]):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in sorted_columns], axis=0)]))
+
+
+def flat(table: pa.Table | pa.RecordBatch, name: str, kind: type = np.int64) -> np.ndarray:
+    """The entries of all arrays of a column."""
+    column = table.column(name)
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([np.empty(0, kind), *[c.flatten().to_numpy(zero_copy_only=False) for c in chunks]])
+
+
+def lengths(table: pa.Table, name: str) -> np.ndarray:
+    """The lengths of all arrays of a column; null has none."""
+    return np.array([0 if n is None else n for n in pc.list_value_length(table.column(name)).to_pylist()], dtype=np.int64)
+
+
+def found_in(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the sorted ``known``, whether they hold what is wanted)."""
+    if not len(known):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+def trigram_counts(texts: DataFrame, shared: Broadcast, rare: DataFrame | None, shards: int) -> DataFrame:
+    """(shard, a, b, c, n): the trigrams of the texts, sorted, a row per shard of the first two words."""
+
+    def counted(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> pa.Table:
+        shard = shard_of(keys(a, a, b)[1], shards)
+        if max(x.max() for x in (a, b, c)) < 1 << 21 and min(x.min() for x in (a, b, c)) >= 0:
+            order = np.argsort(a << 42 | b << 21 | c)
+            order = order[np.argsort(shard[order], kind="stable")]
+        else:
+            order = np.lexsort((c, b, a, shard))
+        a, b, c, n, shard = (x[order] for x in (a, b, c, n, shard))
+        first = firsts(a, b, c)
+        return blocks(shard[first], {"a": a[first], "b": b[first], "c": c[first], "n": np.add.reduceat(n, first)})
 
     def explode(batches):
         for batch in batches:
-            for group in groups(batch, once=False):
-                found = []
-                for text, _, own in group:
-                    s = np.array(ids_of(text, shared.value, own), dtype=np.int64)
-                    found.append(np.stack([s[:-2], s[1:-1], s[2:]], axis=1))
-                rows = np.concatenate(found)
-                rows = rows[np.lexsort(rows.T[::-1])]
-                first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
-                n = np.diff(first, append=len(rows)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*[pa.array(rows[first, k]) for k in range(3)], pa.array(n)], names=["a", "b", "c", "n"])
+            for group in groups(batch):
+                s, _ = sequences(group, shared.value)
+                inner = s[2:] != START
+                a, b, c = s[:-2][inner], s[1:-1][inner], s[2:][inner]
+                yield from counted(a, b, c, np.ones(len(a), dtype=np.int64)).to_batches()
+
+    def add_up(part: pa.Table) -> pa.Table:
+        return counted(*[flat(part, x) for x in "abcn"])
+
+    kind = "shard int, a array<long>, b array<long>, c array<long>, n array<long>"
+    return with_own_words(texts, shared, rare).mapInArrow(explode, kind).groupBy("shard").applyInArrow(add_up, kind)
 
-    return with_own_words(texts, shared, rare).mapInArrow(explode, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+
+def pair_counts(trigrams: DataFrame, shards: int) -> DataFrame:
+    """(b, c, n) of the bigrams. Lower orders count the different words to the left instead of occurrences;
+    n-grams that begin a text have no word to their left and keep their occurrences."""
+
+    def counted(b: np.ndarray, c: np.ndarray, left: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
+        key = keys(b, b, c)[1]
+        order = np.argsort(key)
+        first = firsts(key[order])
+        which = order[first]
+        return key[which], b[which], c[which], np.add.reduceat(left[order], first), np.maximum.reduceat(begins[order], first)
+
+    def split(batches):
+        for batch in batches:
+            a, b, c, n = (flat(batch, x) for x in "abcn")
+            if len(a):
+                key, b, c, left, begins = counted(b, c, np.ones(len(a), dtype=np.int64), np.where((a == START) & (b == START), n, 0))
+                yield from blocks(shard_of(key, shards), {"b": b, "c": c, "n": left, "begins": begins}).to_batches()
+
+    def add_up(part: pa.Table) -> pa.Table:
+        _, b, c, left, begins = counted(*[flat(part, x) for x in ("b", "c", "n", "begins")])
+        return pa.table({"b": b, "c": c, "n": np.maximum(left, begins)})
+
+    parts = trigrams.select("a", "b", "c", "n").mapInArrow(split, "shard int, b array<long>, c array<long>, n array<long>, begins array<long>")
+    return parts.groupBy("shard").applyInArrow(add_up, "b long, c long, n long")
 
 
 def discounts(counted: DataFrame) -> list[float]:
@@ -240,31 +385,102 @@ def cut(d: list[float]) -> Column:
     return F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3])
 
 
-def smoothed(counted: DataFrame, d: list[float], *context: str) -> DataFrame:
-    """``counted`` with each n-gram's discounted share and its context's weight of the lower order."""
-    within = Window.partitionBy(*context)
-    total = F.sum("n").over(within)
-    return counted.select("*", ((F.col("n") - cut(d)) / total).alias("share"), F.greatest(F.sum(cut(d)).over(within) / total, F.lit(LEAST)).alias("left"))
+def contexts(pairs: DataFrame, d: list[float]) -> DataFrame:
+    """(b, total, left): each first word's count and its weight of the lower order."""
+    return pairs.groupBy("b").agg(F.sum("n").alias("total"), F.greatest(F.sum(cut(d)) / F.sum("n"), F.lit(LEAST)).alias("left"))
+
+
+MODEL = "shard int, key array<long>, n array<long>, delta array<float>, back array<float>"
+
+
+def model_rows(shards: int, key: np.ndarray, n: np.ndarray, delta: np.ndarray, back: np.ndarray) -> pa.Table:
+    """N-grams as rows of the model's table."""
+    order = np.argsort(key)
+    return blocks(shard_of(key[order], shards), {"key": key[order], "n": n[order], "delta": delta[order].astype(np.float32),
+                                                 "back": back[order[:len(back)]].astype(np.float32)})
 
 
-def contexts(counted: DataFrame, d: list[float], *context: str) -> DataFrame:
-    """(context, back): the logarithm of each context's weight of the lower order."""
-    left = F.greatest(F.sum(cut(d)) / F.sum("n"), F.lit(LEAST))
-    return counted.groupBy(*context).agg(F.log(left).alias("back"))
+def word_rows(words: DataFrame, shards: int) -> DataFrame:
+    """(c, n, delta, back) as rows of the model's table."""
+
+    def run(batches):
+        for batch in batches:
+            c, n, delta, back = (batch.column(k).to_numpy() for k in range(4))
+            yield from model_rows(shards, keys(c, c, c)[2], n, delta, back).to_batches()
+
+    return words.select("c", "n", "delta", "back").mapInArrow(run, MODEL)
 
 
-def keyed(grams: DataFrame) -> DataFrame:
-    """(key, n, delta, back) of (a, b, c, n, delta, back)."""
+def pair_rows(pairs: DataFrame, shards: int) -> DataFrame:
+    """(shard, key, n, p, delta): the bigrams of (b, c, n, p, delta) as arrays."""
 
     def run(batches):
+        waiting, room = [], 0
         for batch in batches:
-            a, b, c = (batch.column(k).to_numpy() for k in range(3))
-            three, two, one = keys(a, b, c)
-            key = np.where(a != NONE, three, np.where(b != NONE, two, one))
-            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns[3:]], names=["key", "n", "delta", "back"])
+            waiting.append(batch)
+            room += batch.num_rows
+            if room >= BUCKET_GRAMS:
+                yield from dealt(waiting)
+                waiting, room = [], 0
+        if room:
+            yield from dealt(waiting)
 
-    return grams.select("a", "b", "c", "n", F.col("delta").cast("float"), F.col("back").cast("float")).mapInArrow(
-        run, "key long, n long, delta float, back float")
+    def dealt(batches):
+        b, c, n, p, delta = (x.to_numpy() for x in pa.Table.from_batches(batches).columns)
+        key = keys(b, b, c)[1]
+        order = np.argsort(key)
+        return blocks(shard_of(key[order], shards), {"key": key[order], "n": n[order], "p": p[order], "delta": delta[order]}).to_batches()
+
+    return pairs.select("b", "c", "n", "p", "delta").mapInArrow(run, "shard int, key array<long>, n array<long>, p array<float>, delta array<float>")
+
+
+def trigram_rows(trigrams: DataFrame, pairs: DataFrame, d: list[float], shards: int, low: int, high: int) -> DataFrame:
+    """The trigrams whose last two words lie in shards ``low`` to ``high``, and these bigrams, which are ``pairs``,
+    as rows of the model's table."""
+
+    def split(batches):
+        for batch in batches:
+            a, b, c, n = (flat(batch, x) for x in "abcn")
+            if not len(a):
+                continue
+            first = firsts(a, b)
+            size = np.diff(first, append=len(a))
+            cut = np.array([0.0, *d[1:]])[np.minimum(n, 3)]
+            total = np.add.reduceat(n, first)
+            left = np.maximum(np.add.reduceat(cut, first) / total, LEAST)
+            gram, pair, _ = keys(a, b, c)
+            yield from wanted(False, pair, (n - cut) / np.repeat(total * left, size), gram, n)
+            yield from wanted(True, keys(a[first], a[first], b[first])[1], np.log(left))
+
+    def wanted(contexts: bool, pair: np.ndarray, value: np.ndarray, *own: np.ndarray):
+        shard = shard_of(pair, shards)
+        here = np.flatnonzero((shard >= low) & (shard < high))
+        here = here[np.argsort(shard[here], kind="stable")]
+        gram, n = (x[here] for x in own) if own else [np.empty(0, np.int64)] * 2
+        table = blocks(shard[here], {"pair": pair[here], "gram": gram, "n": n, "value": value[here]})
+        return table.append_column("contexts", pa.array([contexts] * table.num_rows, pa.bool_())).to_batches()
+
+    def join(grams: pa.Table, known: pa.Table) -> pa.Table:
+        key = flat(known, "key")
+        order = np.argsort(key)
+        key, n, p, delta = (x[order] for x in (key, flat(known, "n"), flat(known, "p", np.float32), flat(known, "delta", np.float32)))
+        before, grams = grams.filter(pc.field("contexts")), grams.filter(~pc.field("contexts"))
+        # Every trigram's last two words are a bigram.
+        at, _ = found_in(key, flat(grams, "pair"))
+        three = model_rows(shards, flat(grams, "gram"), flat(grams, "n"), np.log1p(flat(grams, "value", np.float64) / p[at]), np.empty(0))
+        context, left = flat(before, "pair"), flat(before, "value", np.float64).astype(np.float32)
+        at, seen = found_in(key, context)
+        back = np.zeros(len(key), np.float32)
+        back[at[seen]] = left[seen]
+        # The two starts are a context only.
+        alone = np.zeros((~seen).sum(), np.float32)
+        two = model_rows(shards, np.concatenate([key, context[~seen]]), np.concatenate([n, np.full(len(alone), STARTS)]),
+                         np.concatenate([delta, alone]), np.concatenate([back, left[~seen]]))
+        return pa.concat_tables([three, two])
+
+    parts = trigrams.select("a", "b", "c", "n").mapInArrow(
+        split, "shard int, pair array<long>, gram array<long>, n array<long>, value array<double>, contexts boolean")
+    return parts.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(join, MODEL)
 
 
 def train(texts: DataFrame) -> dict:
@@ -281,8 +497,9 @@ def count(texts: DataFrame) -> tuple[dict[str, int], DataFrame | None, int, Writ
     spark = texts.sparkSession
     with swept(spark):
         ids, rare, n_words = vocabulary(texts)
-        with sent(spark, ids) as shared:
-            return ids, rare, n_words, Written(trigram_counts(texts, shared, rare), "trigrams")
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        with sent(spark, hashed(ids)) as shared:
+            return ids, rare, n_words, Written(trigram_counts(texts, shared, rare, 1 + size // (5 * BUCKET_GRAMS)), "trigrams")
 
 
 def smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: Written) -> dict:
@@ -292,12 +509,11 @@ def smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: Wr
 
 
 def _smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: Written) -> dict:
-    size = n_words + END
-    tri, d3 = counts.df, discounts(counts.df)
-    # Lower orders count the different words to the left instead of occurrences; n-grams that
-    # begin a text have no word to their left and keep their occurrences.
-    begins = (F.col("a") == START) & (F.col("b") == START)
-    pairs = Written(tri.groupBy("b", "c").agg(F.greatest(F.count("*"), F.max(F.when(begins, F.col("n")))).alias("n")), "pairs")
+    size, spark = n_words + END, counts.spark
+    n_grams = counts.df.agg(F.sum(F.size("n"))).first()[0] or 0
+    shards, slices = 1 + n_grams // BUCKET_GRAMS, min(SLICES, 1 + n_grams // SLICE_GRAMS)
+    tri, d3 = counts.df, discounts(counts.df.select(F.explode("n").alias("n")))
+    pairs = Written(pair_counts(tri, shards), "pairs")
     bi, d2 = pairs.df, discounts(pairs.df)
     mono = Written(bi.groupBy("c").agg(F.count("*").alias("n")), "words").df
     d1 = discounts(mono)
@@ -306,36 +522,43 @@ def _smooth(ids: dict[str, int], rare: DataFrame | None, n_words: int, counts: W
     floor = math.log(left1 / size)
     words = mono.select("c", "n", ((F.col("n") - cut(d1)) / float(sums["n"] or 1) + left1 / size).alias("p"))
 
-    lower = F.col("left") * F.col("p")
-    two = smoothed(bi, d2, "b").join(words.select("c", "p"), "c")
-    two = Written(two.select("b", "c", "n", (F.col("share") + lower).cast("float").alias("p"), F.log1p(F.col("share") / lower).cast("float").alias("delta")), "smoothed_pairs")
-    backs = Written(contexts(bi, d2, "b"), "word_contexts").df.select(F.col("b").alias("c"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("delta"), "back")
+    before = Written(contexts(bi, d2), "word_contexts").df
+    share, lower = (F.col("n") - cut(d2)) / F.col("total"), F.col("left") * F.col("p")
+    two = bi.join(before, "b").join(words.select("c", "p"), "c").select(
+        "b", "c", always("c").alias("n"), (share + lower).cast("float").alias("p"), F.log1p(share / lower).cast("float").alias("delta"))
+    # A slice is a range of shards; its bigrams go when it is done.
+    part_of = F.floor(((F.col("shard") + 1) * slices - 1) / shards).cast("int")
+    two = Written(pair_rows(two, shards).withColumn("slice", part_of), "smoothed_pairs", "slice")
     pairs.drop()
 
-    n_grams = tri.count()
-    slices = min(SLICES, 1 + n_grams // SLICE_GRAMS)
-    grams = Bucketed(counts.spark, "key", 1 + n_grams // BUCKET_GRAMS, "ngrams")
-    none = F.lit(NONE).cast("long")
-    one = words.select("c", "n", (F.log("p") - floor).alias("delta"), F.lit(0.0).alias("back")).unionByName(backs)
+    grams = Bucketed(spark, "shard", shards, "ngrams")
+    one = words.select("c", "n", (F.log("p") - floor).alias("delta"), F.lit(0.0).alias("back")).unionByName(
+        before.select(F.col("b").alias("c"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("delta"), F.log("left").alias("back")))
     one = one.groupBy("c").agg(*[F.sum(x).alias(x) for x in ("n", "delta", "back")])
-    grams.append(keyed(one.select(none.alias("a"), none.alias("b"), "c", always("c").alias("n"), "delta", "back")))
+    one = Written(one.withColumn("n", always("c")), "smoothed_words").df
+    grams.append(word_rows(one, shards))
     for k in range(slices):
-        here = lambda word: F.pmod(F.xxhash64(word), F.lit(slices)) == k  # noqa: B023, E731
-        part = tri.where(here("b"))
-        three = smoothed(part, d3, "a", "b").join(two.df.where(here("b")).select("b", "c", "p"), ["b", "c"])
-        grams.append(keyed(three.select("a", "b", "c", "n", F.log1p(F.col("share") / lower).alias("delta"), F.lit(0.0).alias("back"))))
-        before = contexts(part, d3, "a", "b").select(F.col("a").alias("b"), F.col("b").alias("c"), "back")
-        pair = two.df.where(here("c")).join(before, ["b", "c"], "full")
-        grams.append(keyed(pair.select(none.alias("a"), "b", "c", always("c").alias("n"), F.coalesce("delta", F.lit(0.0)).alias("delta"),
-                                       F.coalesce("back", F.lit(0.0)).alias("back"))))
+        low, high = k * shards // slices, (k + 1) * shards // slices
+        grams.append(trigram_rows(tri, two.df.where(F.col("slice") == k).drop("slice"), d3, shards, low, high))
+        two.drop(f"slice={k}")
     for table in (counts, two):
         table.drop()
-    often = grams.df.where(F.col("n") >= least_count(grams.df, FREQUENT_GRAMS)).select("key", (F.col("delta") + F.col("back")).alias("weight")).toArrow()
+    frequent = one.where("c >= 0").select("c", (F.col("delta").cast("float") + F.col("back").cast("float")).alias("weight")).toArrow()
+    by_word = np.zeros(END + 1 + len(ids))
+    by_word[frequent["c"].to_numpy()] = frequent["weight"].to_numpy()
+    least = least_count(grams.df.select(F.explode("n").alias("n")), FREQUENT_GRAMS)
+    often = entries(grams.df).where(F.col("n") >= least).select("key", (F.col("delta") + F.col("back")).alias("weight")).toArrow()
     order = np.argsort(often["key"].to_numpy())
-    return {"ids": ids, "rare": rare, "size": size, "floor": floor, "table": grams,
+    return {"ids": ids, "rare": rare, "size": size, "floor": floor, "table": grams, "shards": shards, "words": by_word,
             "often": (often["key"].to_numpy()[order], often["weight"].to_numpy()[order])}
 
 
+def entries(model: DataFrame) -> DataFrame:
+    """(key, n, delta, back) of the rows of the model's table."""
+    each = model.select(F.explode(F.arrays_zip("key", "n", "delta", "back")).alias("gram"))
+    return each.select("gram.key", "gram.n", "gram.delta", F.coalesce("gram.back", F.lit(0.0).cast("float")).alias("back"))
+
+
 def always(word: str) -> Column:
     """Count of an n-gram, past all others for those of starts."""
     return F.when(F.col(word) == START, F.lit(STARTS)).otherwise(F.coalesce("n", F.lit(0)))
@@ -346,50 +569,94 @@ def log_probabilities(model: dict, ids: np.ndarray) -> np.ndarray:
     three, two, one = keys(ids[:-2], ids[1:-1], ids[2:])
     _, context, word = keys(ids[:-2], ids[:-2], ids[1:-1])
     wanted = np.unique(np.concatenate([three, two, one, context, word])).tolist()
-    rows = {r["key"]: r for r in model["table"].df.where(F.col("key").isin(wanted)).collect()}
+    rows = {r["key"]: r for r in entries(model["table"].df).where(F.col("key").isin(wanted)).collect()}
     of = lambda found, name: np.array([rows[k][name] if k in rows else 0.0 for k in found.tolist()])
     return model["floor"] + sum(of(k, "delta") for k in (three, two, one)) + of(context, "back") + of(word, "back")
 
 
+ASKED = "shard int, team long, texts long, key array<long>, times array<int>, doc array<int>, base array<double>, id array<long>, tokens array<int>"
+ANSWERED = "team long, doc array<int>, log array<double>, id array<long>, tokens array<int>"
+
+
 def exploded(texts: DataFrame, model: dict, words: Broadcast, often: Broadcast) -> DataFrame:
-    """(id, key, n, base): a text's n-grams that are not frequent, with their counts, and one row with the sum
-    over the frequent ones as base and the tokens as n."""
-    floor = model["floor"]
-
-    def counted(rows):
-        ids, (known, weights) = words.value, often.value
-        sequences = [ids_of(text, ids, own) for text, _, own in rows]
-        sizes = np.array([len(s) for s in sequences])
-        flat = np.concatenate([np.array(s, dtype=np.int64) for s in sequences])
-        row = np.repeat(np.arange(len(rows)), sizes)
-        three, two, one = keys(flat[:-2], flat[1:-1], flat[2:])
-        inner = flat[2:] != START
+    """The n-grams of the texts. A team is a group of texts that one task reads together; it has a row per shard
+    (key, times, doc) with its n-grams that are not frequent, how many texts' places follow for each, and these, and
+    one row (base, id, tokens) with the sum over the frequent ones, the id and the number of tokens of each text."""
+    floor, shards = model["floor"], model["shards"]
+
+    def asked(rows: list[tuple], team: int):
+        by_word, known, weights = often.value
+        joined, sizes = sequences(rows, words.value)
+        inner = joined[2:] != START
+        each = np.arange(len(rows), dtype=np.int32)
+        doc = np.repeat(each, sizes)[2:][inner]
+        three, two, one = (k[inner] for k in keys(joined[:-2], joined[1:-1], joined[2:]))
+        last = joined[2:][inner]
+        rare = np.flatnonzero(last < 0)
         # The two starts are a context once in each text.
-        _, pair, start = keys(*[np.array([START])] * 3)
-        each = np.arange(len(rows))
-        key = np.concatenate([three[inner], two[inner], one[inner], np.repeat(pair, len(rows)), np.repeat(start, len(rows))])
-        at = np.concatenate([*[row[2:][inner]] * 3, each, each])
-        distinct, which = np.unique(key, return_inverse=True)
-        place_of = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
-        often_seen = known[place_of] == distinct if len(known) else np.zeros(len(distinct), dtype=bool)
-        hit = often_seen[which]
-        value = weights[place_of[which[hit]]] if len(known) else np.empty(0)
-        base = np.bincount(at[hit], weights=value, minlength=len(rows)) + floor * (sizes - 2)
-        # Text and n-gram in one number each, so that sorting brings equal ones together.
-        both, n = np.unique((at[~hit] << 32) | which[~hit], return_counts=True)
-        ids_of_rows = np.array([r[1] for r in rows], dtype=np.int64)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([ids_of_rows[both >> 32], ids_of_rows])),
-            pa.array(np.concatenate([distinct[both & ((1 << 32) - 1)], ids_of_rows])),
-            pa.array(np.concatenate([n, sizes - 3]).astype(np.int32)),
-            pa.array(np.concatenate([np.zeros(len(both)), base]), mask=np.arange(len(both) + len(rows)) < len(both))],
-            names=["id", "key", "n", "base"])
+        pair = keys(*[np.array([START])] * 3)[1]
+        key = np.concatenate([three, two, one[rare], np.repeat(pair, len(rows))])
+        at = np.concatenate([doc, doc, doc[rare], each])
+        order = np.argsort(key)
+        key, at = key[order], at[order]
+        first = firsts(key)
+        key, times = key[first], np.diff(first, append=len(key))
+        where, seen = found_in(known, key)
+        hit = np.repeat(seen, times)
+        value = np.repeat(weights[where[seen]], times[seen]) if len(known) else np.empty(0)
+        base = np.bincount(at[hit], weights=value, minlength=len(rows)) + floor * (sizes - 2) + by_word[START]
+        base += np.bincount(doc, weights=np.where(last < 0, 0.0, by_word[np.maximum(last, 0)]), minlength=len(rows))
+        key, times, at = key[~seen], times[~seen].astype(np.int32), at[~hit]
+        shard = shard_of(key, shards)
+        table = blocks(shard, {"key": key, "times": times})
+        edges = np.concatenate([[0], np.cumsum(times)])[np.append(firsts(shard), len(shard))]
+        table = table.append_column("doc", pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(at)))
+        whole = pa.table({"shard": pa.array([team % shards], pa.int32()), "base": [base], "id": [[r[1] for r in rows]],
+                          "tokens": pa.array([(sizes - 3).tolist()], pa.list_(pa.int32()))})
+        table = pa.concat_tables([table, whole], promote_options="default")
+        table = table.add_column(1, "team", pa.array([team] * table.num_rows, pa.int64()))
+        table = table.add_column(2, "texts", pa.array([len(rows)] * table.num_rows, pa.int64()))
+        return table.to_batches()
 
     def run(batches):
+        team = TaskContext.get().partitionId() << 32
         for batch in batches:
-            yield from map(counted, groups(batch, once=True))
-
-    return with_own_words(texts, words, model["rare"]).mapInArrow(run, "id long, key long, n int, base double")
+            for group in groups(batch):
+                yield from asked(group, team)
+                team += 1
+
+    rows = with_own_words(texts, words, model["rare"])
+    # Texts that come out of a join are put in order, so that a repeated task forms the same teams.
+    return (rows if model["rare"] is None else rows.sortWithinPartitions("id")).mapInArrow(run, ASKED)
+
+
+def answer(asked: pa.Table, grams: pa.Table) -> pa.Table:
+    """A shard's sums over the n-grams of each text, as rows (team, doc, log), and the rows (base, id, tokens) as they are."""
+    key, weight = flat(grams, "key"), flat(grams, "delta", np.float32).copy()
+    weight[np.repeat(lengths(grams, "back") > 0, lengths(grams, "key"))] += flat(grams, "back", np.float32)
+    order = np.argsort(key, kind="stable")
+    key, weight = key[order], weight[order].astype(float)
+    whole, asked = asked.filter(pc.field("id").is_valid()), asked.filter(pc.field("id").is_null())
+    team, texts = asked["team"].to_numpy(), asked["texts"].to_numpy()
+    start = np.cumsum(texts) - texts
+    at, seen = found_in(key, flat(asked, "key"))
+    times = flat(asked, "times", np.int32)
+    text = (np.repeat(start, lengths(asked, "doc")) + flat(asked, "doc", np.int32))[np.repeat(seen, times)]
+    sums = np.bincount(text, weights=np.repeat(weight[at[seen]], times[seen]), minlength=int(texts.sum())).astype(float)
+    found = np.flatnonzero(sums)
+    row = np.searchsorted(start, found, side="right") - 1
+    table = blocks(row, {"doc": (found - start[row]).astype(np.int32), "log": sums[found]})
+    table = table.set_column(0, "team", pa.array(team[table["shard"].to_numpy()]))
+    base = pa.table({"team": whole["team"], "doc": pa.array([list(range(n)) for n in whole["texts"].to_pylist()], pa.list_(pa.int32())),
+                     "log": whole["base"], "id": whole["id"], "tokens": whole["tokens"]})
+    return pa.concat_tables([table, base], promote_options="default").select(["team", "doc", "log", "id", "tokens"])
+
+
+def added_up(team: pa.Table) -> pa.Table:
+    """(id, log, tokens) of the texts of a team."""
+    ids = flat(team, "id")
+    log = np.bincount(flat(team, "doc", np.int32), weights=flat(team, "log", np.float64), minlength=len(ids)).astype(float)
+    return pa.table({"id": ids, "log": log, "tokens": flat(team, "tokens", np.int32).astype(np.int64)})
 
 
 def perplexities(docs: DataFrame, model: dict, columns: list[str], text: str = "text") -> DataFrame:
@@ -397,19 +664,21 @@ def perplexities(docs: DataFrame, model: dict, columns: list[str], text: str = "
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = min(SLICES, 1 + size // SLICE_BYTES)
-    weights = model["table"].df.select("key", (F.col("delta") + F.col("back")).alias("weight")).hint("shuffle_hash")
-    value = F.coalesce("base", F.coalesce("weight", F.lit(0.0)) * F.col("n"))
-    token = F.when(F.col("base").isNotNull(), F.col("n"))
+    grams = model["table"].df.select("shard", "key", "delta", "back").groupBy("shard")
     spark = docs.sparkSession
-    with swept(spark), sent(spark, model["ids"]) as words, sent(spark, model["often"]) as often:
-        parts = [Written(exploded(texts.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k), model, words, often).join(weights, "key", "left").groupBy("id").agg(
-            F.sum(value).alias("log"), F.sum(token).alias("tokens"), F.count("base").alias("copies")), "log_sums").df for k in range(slices)]
+    with swept(spark), sent(spark, hashed(model["ids"])) as words, sent(spark, (model["words"], *model["often"])) as often:
+        parts = []
+        for k in range(slices):
+            asked = exploded(texts.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k), model, words, often)
+            answered = asked.groupBy("shard").cogroup(grams).applyInArrow(answer, ANSWERED)
+            parts.append(Written(answered.groupBy("team").applyInArrow(added_up, "id long, log double, tokens long"), "log_sums").df)
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
-    # Equal texts share an id: their rows are added up, tokens as well.
-    sums = sums.select(F.col("id").alias("text_to_score"), (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
-                       F.when(F.col("tokens") > 0, F.exp(-F.col("log") / (F.col("tokens") + F.col("copies")))).alias("perplexity"))
+    # Equal texts share an id and are scored each.
+    sums = sums.groupBy("id").agg(F.max("tokens").alias("n_tokens"), F.max("log").alias("log"))
+    sums = sums.select(F.col("id").alias("text_to_score"), "n_tokens",
+                       F.when(F.col("n_tokens") > 0, F.exp(-F.col("log") / (F.col("n_tokens") + 1))).alias("perplexity"))
     rows = docs.select(*columns, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("text_to_score"))
     return rows.join(sums, "text_to_score").select(*columns, "n_tokens", "perplexity")
 

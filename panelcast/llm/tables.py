@@ -17,16 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Written:
-    """A table that was written once; ``df`` reads it, ``drop`` removes it."""
+    """A table that was written once, ``by`` a column in folders if one is named; ``df`` reads it, ``drop`` removes
+    it or one of its folders."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, by: str | None = None):
         self.spark = df.sparkSession
         self.path = new_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.parquet(self.path, partitionBy=by)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
-    def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def drop(self, folder: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -40,7 +41,9 @@ class Bucketed:
 
     def append(self, df: DataFrame) -> None:
         dealt = df.repartition(self.buckets, self.key)
-        dealt.write.bucketBy(self.buckets, self.key).option("path", self.path).mode("append").saveAsTable(self.table)
+        # The packed form of this version suits sorted numbers.
+        dealt = dealt.write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+        dealt.bucketBy(self.buckets, self.key).option("path", self.path).mode("append").saveAsTable(self.table)
 
     @property
     def df(self) -> DataFrame:

@@ -123,3 +123,27 @@ def test_words_and_ngrams_beyond_the_frequent_ones(spark, monkeypatch):
     got = rows(K.perplexities(docs(spark, texts), model, ["doc_id"]), "doc_id", "n_tokens", "perplexity")
     want = [(i, len(K.tokens(t)), pytest.approx(plain_perplexity(ids, p, t), rel=1e-4)) for i, t in texts]
     assert got == sorted(want, key=lambda r: repr(r[0]))
+
+
+def test_tokens_of_a_group_equal_those_of_the_pattern():
+    drawn = np.random.default_rng(5)
+    mixed = ["".join(map(chr, drawn.choice([*range(32, 0x250), 0x663, 0x4E00, 0x2019, 0x1D400, 0x1F600, 0x2028], 80))) for _ in range(50)]
+    texts = ["", " \n", "x\u00b2y _a_ 12\u06634 a1b the the", *mixed]
+    found, want = K.Tokens(texts), [K.tokens(t) for t in texts]
+    every = [t for x in want for t in x]
+    assert found.sizes.tolist() == [len(x) for x in want]
+    assert found.strings(np.arange(len(found.begin))) == every
+    assert len(set(zip(found.hash.tolist(), every))) == len(set(every)) == len(set(found.hash.tolist()))
+
+
+def test_ngrams_cross_the_network_in_rows_by_shard(spark, monkeypatch):
+    """One row per n-gram and text took most of the time and the disk."""
+    monkeypatch.setattr(K, "FREQUENT_GRAMS", 2)
+    monkeypatch.setattr(K, "BUCKET_GRAMS", 40)
+    model = K.train(docs(spark, list(enumerate(TRAIN))).select("text"))
+    texts = docs(spark, [(k, f"the cat {k} sat on word{k} mat dog") for k in range(400)]).select("text").coalesce(1)
+    with K.sent(spark, K.hashed(model["ids"])) as words, K.sent(spark, (model["words"], *model["often"])) as often:
+        got = K.exploded(texts, model, words, often).collect()
+    assert model["shards"] > 1 and len(got) <= model["shards"] + 1
+    assert sum(len(r.doc or []) for r in got) > 10 * 400
+    assert sum(sum(r.times or []) for r in got) == sum(len(r.doc or []) for r in got)
